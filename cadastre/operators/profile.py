@@ -162,7 +162,8 @@ def gap_distribution(df: DataFrame, time_column: str, by: Sequence[str] = ()) ->
     days = (df.select(*by, F.col(time_column).cast("date").alias("day"))
             .where(F.col("day").isNotNull()).distinct())
     ordered = Window.partitionBy(*by).orderBy("day")
-    gaps = days.select(*by, F.date_diff("day", F.lag("day").over(ordered)).alias("gap_days"))
+    gaps = days.select(*by, F.date_diff("day", F.lag("day").over(ordered))
+                       .cast("bigint").alias("gap_days"))
     return (gaps.where(F.col("gap_days").isNotNull()).groupBy("gap_days")
             .agg(F.count(F.lit(1)).alias("n")))
 
