@@ -54,9 +54,17 @@ class Warehouse:
             columns.append(text)
         partitioned = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
         comment = "COMMENT '" + spec.comment.replace("'", "''") + "'" if spec.comment else ""
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {spec.name} ({', '.join(columns)}) USING parquet "
-            f"{partitioned} LOCATION '{self._new_folder(spec.name)}' {comment}")
+        # Partitions are found below the current folder rather than listed in the
+        # catalog, whose entries would keep pointing at the previous version.
+        setting = "spark.sql.hive.manageFilesourcePartitions"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "false")
+        try:
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {spec.name} ({', '.join(columns)}) USING parquet "
+                f"{partitioned} LOCATION '{self._new_folder(spec.name)}' {comment}")
+        finally:
+            self.spark.conf.set(setting, before)
 
     def add_columns(self, name: str, columns: Sequence[tuple[str, str]]) -> list[str]:
         """Add the columns that are absent; returns their names."""
@@ -76,7 +84,13 @@ class Warehouse:
                 raise LookupError(f"table {name} does not exist; create it first")
 
     def table(self, name: str) -> DataFrame:
+        """The current rows; a listing cached by this session is dropped first.
+
+        Another session (a stream's, another job's) may have published a newer
+        version or added files since.
+        """
         self.require(name)
+        self.spark.catalog.refreshTable(name)
         return self.spark.table(name)
 
     def defaults(self, name: str) -> dict[str, str]:
@@ -140,8 +154,6 @@ class Warehouse:
     def publish(self, name: str, folder: str) -> None:
         """Make a written version the current one."""
         self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-        if self._partitions(name) and self._tracks_partitions():
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         self.spark.catalog.refreshTable(name)
 
     def swap(self, name: str, rows: DataFrame, sort_by: Sequence[str] = ()) -> str:
@@ -153,9 +165,6 @@ class Warehouse:
     def _partitions(self, name: str) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
 
-    def _tracks_partitions(self) -> bool:
-        return self.spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
-
     def _new_folder(self, name: str) -> str:
         # a fresh name per attempt: a retried job never meets half-written files
         return posixpath.join(self.root, *name.split("."), f"v={uuid.uuid4().hex}")
