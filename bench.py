@@ -31,7 +31,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", "bench", int(cpus) if cpus.isdigit() else 8, **{
-        "spark.ui.enabled": "false", "spark.driver.memory": "16g",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "16g",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="bench-warehouse-")})
     spark.sparkContext.setLogLevel("ERROR")
 

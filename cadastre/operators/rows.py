@@ -38,17 +38,26 @@ REQUEST_RULES = (
 )
 
 
-def field_error(rule: FieldRule) -> Column:
-    """First problem of the field as text, NULL when there is none."""
+def _parsed(rule: FieldRule) -> Column | None:
     text = F.col(rule.name).cast("string")
-    error = F.when(is_blank(text), f"{rule.name}: required")
+    if rule.kind == "integer":
+        return casts.to_integer(text)
+    if rule.kind == "decimal":
+        return casts.to_double(text)
+    return None
+
+
+def field_error(rule: FieldRule, value: Column | None) -> Column:
+    """First problem of the field as text, NULL when there is none.
+
+    ``value`` is the parsed field of a numeric rule.
+    """
+    error = F.when(is_blank(F.col(rule.name).cast("string")), f"{rule.name}: required")
     if rule.kind == "text":
         return error
     if rule.kind == "integer":
-        value = casts.to_integer(text)
         error = error.when(value.isNull(), f"{rule.name}: not a whole number")
     else:
-        value = casts.to_double(text)
         error = error.when(value.isNull() | F.isnan(value), f"{rule.name}: not a number")
     low = value <= rule.low if rule.low_open else value < rule.low
     bracket = "(" if rule.low_open else "["
@@ -57,8 +66,15 @@ def field_error(rule: FieldRule) -> Column:
 
 
 def check_rows(df: DataFrame, rules: Sequence[FieldRule] = REQUEST_RULES) -> DataFrame:
-    """Add an array of error texts, empty for a usable row."""
-    return df.withColumn(ERRORS, F.array_compact(F.array(*[field_error(r) for r in rules])))
+    """Add an array of error texts, empty for a usable row.
+
+    Each numeric field is parsed once, in a projection of its own, and then
+    tested several times.
+    """
+    parsed = {f"__v_{r.name}": _parsed(r) for r in rules if r.kind != "text"}
+    errors = [field_error(r, F.col(f"__v_{r.name}") if r.kind != "text" else None) for r in rules]
+    return (df.withColumns(parsed).withColumn(ERRORS, F.array_compact(F.array(*errors)))
+            .drop(*parsed))
 
 
 def usable_rows(checked: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cadastre.functions.text import CITY_NAMES
 from cadastre.operators.clean import clean_transactions
 from cadastre.operators.features import build_features
+from cadastre.sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +44,7 @@ def raw_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty transactions: one row per order line, ids repeated as the lines are."""
     lines, orders, customers, parts = (
         table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "part"))
-    joined = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = (spread(lines, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(customers, F.col("o_custkey") == F.col("c_custkey"))
               .join(parts, F.col("l_partkey") == F.col("p_partkey")))
     spellings = ["BOGOTA", "Bogota", "Bogota D.C.", "Bogotá", "MEDELLIN", "Medellin", "Medellín",

@@ -38,8 +38,8 @@ class TrainingConfig:
     folds: int = 5
     seed: int = 42
     price_minimum: int = 10_000_000
-    experiment: str = "prediccion_precio_propiedades"
-    registry: str = "prediccion_precio_propiedades"
+    experiment: str = "precios"
+    registry: str = "precios"
     model_folder: str = "models"
     served_models: int = 2
     parallel_folds: int = 1

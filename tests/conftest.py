@@ -18,7 +18,8 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     from cadastre.session import build_session
     session = build_session("local[8]", shuffle_partitions=4, **{
-        "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-warehouse-")})
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -69,7 +69,8 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.001"
     wanted = argv[1:] or list(QUERIES)
     spark = build_session("local[8]", shuffle_partitions=8, **{
-        "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
