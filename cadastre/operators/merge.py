@@ -33,8 +33,15 @@ def _all_present(keys: Sequence[str]) -> Column:
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows without a match in the target; NULL keys never match."""
-    return source.join(_distinct_keys(target, keys), list(keys), "left_anti")
+    """Source rows without a match in the target; NULL keys never match.
+
+    The stored keys are first reduced to those the source has.  With a batch
+    that can be broadcast this needs no shuffle of the stored table, otherwise
+    one of its key columns, and what is looked up never outgrows the source.
+    """
+    wanted = source.where(_all_present(keys)).select(*keys)
+    known = target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
+    return source.join(known, list(keys), "left_anti")
 
 
 def missing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -150,8 +150,10 @@ def test_small_batch_leaves_the_stored_table_unshuffled(spark, tmp_path):
     source = spark.read.parquet(str(tmp_path / "batch"))
     got = merge.upsert_load(source, target, ["id"], {"at": F.lit(1)})
     plan = got._jdf.queryExecution().executedPlan().toString()
-    kept = plan.split("Union")[1].split("LeftAnti")[0]
+    kept, added = plan.split("Union")[1].split("LeftAnti")
     assert "BroadcastHashJoin" in kept and "Exchange hashpartitioning" not in kept
+    # of the stored keys only those that the batch has are shuffled
+    assert "LeftSemi" in added.split("Exchange hashpartitioning")[1]
 
 
 # --- quantiles and profiles -------------------------------------------------

@@ -19,7 +19,11 @@ def engine(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_its_sql(spark, sf_dir, engine, name):
-    assert compare(QUERIES[name](spark, sf_dir), engine, SQL[name]) == []
+    frame = QUERIES[name](spark, sf_dir)
+    assert compare(frame, engine, SQL[name]) == []
+    # no cross join, no nested loop and no Python worker in any relational query
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not [o for o in ("CartesianProduct", "NestedLoop", "Python", "Pandas") if o in plan]
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
@@ -31,11 +35,3 @@ def test_rows_only_query_has_rows(spark, sf_dir, name):
 def test_entry_points(spark):
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
     assert entry_points.entry(spark).columns == ["ciudad", "total", "n_train", "n_test"]
-
-
-def test_no_plan_pairs_rows_or_calls_python(spark, sf_dir):
-    """No cross join, no nested loop and no Python worker in any relational query."""
-    for name in sorted(SQL):
-        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-        for operator in ("CartesianProduct", "NestedLoop", "Python", "Pandas"):
-            assert operator not in plan, (name, operator)

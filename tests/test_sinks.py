@@ -122,6 +122,23 @@ def test_partitioned_table_and_truncate(spark, tmp_path):
     assert house.table(spec.name).count() == 0
 
 
+def test_upsert_moves_a_row_to_another_partition(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "w"))
+    spec = TableSpec("staging.moved", (("id", "string"), ("day", "date"), ("v", "bigint"),
+                                       ("at", "timestamp")), {"at": "current_timestamp()"},
+                     partition_by=("day",))
+    house.create(spec, replace=True)
+    columns = "id string, day date, v bigint"
+    day = dt.date(2024, 1, 1).replace
+    run_load(house, spec.name, spark.createDataFrame(
+        [("a", day(day=1), 1), ("b", day(day=2), 2)], columns), "FULL", sort_by=["v"])
+    result = run_load(house, spec.name, spark.createDataFrame(
+        [("a", day(day=2), 5), ("c", day(day=3), 3)], columns), "UPSERT", "id", sort_by=["v"])
+    assert (result.inserted, result.updated) == (1, 1)
+    assert rows_of(house.table(spec.name), "id", "day", "v") == [
+        ("a", day(day=2), 5), ("b", day(day=2), 2), ("c", day(day=3), 3)]
+
+
 def test_every_table_of_the_model(warehouse):
     spec = STAGING_TRANSACTIONS
     assert warehouse.table(spec.name).columns == spec.column_names
