@@ -50,9 +50,10 @@ def raw_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     spellings = ["BOGOTA", "Bogota", "Bogota D.C.", "Bogotá", "MEDELLIN", "Medellin", "Medellín",
                  "Cali", "Santiago de Cali", "Barranquilla", "B/quilla", " SANTA MARTA "]
     nation, size = F.col("c_nationkey") % 13, F.col("p_size") % 3
-    city = F.lit("valledupar")
-    for i, spelling in enumerate(spellings):
-        city = F.when(nation == i, spelling).otherwise(city)
+    city = F.when(nation == 0, spellings[0])
+    for i, spelling in enumerate(spellings[1:], start=1):
+        city = city.when(nation == i, spelling)
+    city = city.otherwise("valledupar")
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
 
     def decimals(key):
