@@ -226,6 +226,7 @@ def read_token_files(files: DataFrame, *, key: str = "doc_id") -> DataFrame:
     totals = files.groupBy("partition").agg(F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("partition", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
-    placed = files.join(before, "partition").select("path", "before").repartition("path")
+    placed = files.join(before, "partition").select("path", "before") \
+        .repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
     return placed.mapInArrow(read, "key long, start long, n_tokens long, ids_crc32 long, path string") \
         .withColumnRenamed("key", key)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadastre.llm import bm25_packing, direct_codes, shared, two_tier_bpe
+from cadastre.llm import bm25_packing, direct_codes, shared, two_tier_bpe, vertical_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,3 +50,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY),
                              WORD_VOCABULARY_SIZE)
+
+
+@query("op8_vertical_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vertical_join.similar_texts(read(spark, sf_dir, "documents"))
