@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadastre.llm import bm25_packing, direct_codes, shared, two_tier_bpe, vertical_join
+from cadastre.llm import bm25_packing, direct_codes, shared, tree_forest, two_tier_bpe, vertical_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,3 +55,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_vertical_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vertical_join.similar_texts(read(spark, sf_dir, "documents"))
+
+
+@query("op7_tree_forest")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_forest.near_vectors(read(spark, sf_dir, "embeddings"))
