@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadastre.llm import bm25_packing, direct_codes, shared, tree_forest, two_tier_bpe, vertical_join
+from cadastre.llm import (bm25_packing, decision_list, direct_codes, rule_ensemble, shared, tree_forest,
+                          two_tier_bpe, vertical_join)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +61,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_tree_forest")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_forest.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query("op4_decision_list")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return decision_list.judge(docs, decision_list.learn_from(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op9_rule_ensemble")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return rule_ensemble.score_texts(docs, rule_ensemble.learn_from(docs, read(spark, sf_dir, "labels")))
