@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadastre.llm import (bm25_packing, decision_list, direct_codes, rule_ensemble, shared, tree_forest,
-                          two_tier_bpe, vertical_join)
+from cadastre.llm import (bm25_packing, crf_language, decision_list, direct_codes, factorization,
+                          license_digest, rule_ensemble, shared, tree_forest, two_tier_bpe, vertical_join)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +73,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return rule_ensemble.score_texts(docs, rule_ensemble.learn_from(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op10_factorization")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return factorization.score_texts(docs, factorization.learn_from(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op1_crf_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return crf_language.label_texts(docs, crf_language.learn_from(docs))
+
+
+@query("op5_license_digest", license_digest.oracle_sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest.scan(read(spark, sf_dir, "documents"))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SPACES = " \t\n\x0b\f\r"
-_ZERO = F.lit(0)
 
 #: shares and counts that learned rules put thresholds on
 FEATURES = ("n_words", "mean_word", "symbol_share", "repeat_share", "dup_line_share", "upper_share",
@@ -35,7 +34,7 @@ def repeated_words(words: Column, window: int = 5) -> Column:
     """Words inside windows that occur twice or more, the first occurrence included."""
     def windows(w: Column) -> Column:
         return F.when(F.size(w) >= window, F.transform(
-            F.sequence(_ZERO, F.size(w) - window),
+            F.sequence(F.lit(0), F.size(w) - window),
             lambda i: F.xxhash64(*(w[i + k] for k in range(window))))).otherwise(F.array().cast("array<bigint>"))
 
     def covered(places: Column) -> Column:
@@ -47,7 +46,7 @@ def repeated_words(words: Column, window: int = 5) -> Column:
         ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         return let(ordered, lambda s: let(
             F.sort_array(F.transform(
-                F.filter(s, lambda x, k: ((k > 0) & (s[F.greatest(k - 1, _ZERO)]["h"] == x["h"]))
+                F.filter(s, lambda x, k: ((k > 0) & (s[F.greatest(k - 1, F.lit(0))]["h"] == x["h"]))
                          | ((k + 1 < F.size(s)) & (s[F.least(k + 1, F.size(s) - 1)]["h"] == x["h"]))),
                 lambda x: x["i"])), covered))
 
