@@ -23,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,7 +75,6 @@ def _encoder(vocabulary: str, size: int, window: int, end_id: int):
         encoder, end = word_ids(vocabulary, "<u2" if size <= 1 << 16 else "<u4"), None
         width = np.dtype(encoder.code).itemsize
         end = end_id.to_bytes(width, "little")
-        squeeze = zstandard.ZstdCompressor(level=1)
         codes = words.mix(np.arange(1, size + 1, dtype=np.uint64)) >> np.uint64(1)
         seen = np.zeros(size, np.int32)
         sequence = TaskContext.get().partitionId() << 36
@@ -93,13 +91,13 @@ def _encoder(vocabulary: str, size: int, window: int, end_id: int):
                 seen[distinct] += 1
                 rows.append((0, key, len(ids), cut, len(tail),
                              int(codes[distinct].min()) if len(tail) else 0, sequence,
-                             np.array(crcs, "<u4").tobytes(), squeeze.compress(tail.tobytes())))
+                             np.array(crcs, "<u4").tobytes(), tail.tobytes()))
                 sequence += len(crcs)
             yield _rows(rows)
         if seen.any():
             there = np.flatnonzero(seen).astype("<i4")
-            yield _rows([(1, None, 0, 0, 0, 0, 0, b"", squeeze.compress(
-                there.tobytes() + seen[there].astype("<i4").tobytes()))])
+            yield _rows([(1, None, 0, 0, 0, 0, 0, b"",
+                          there.tobytes() + seen[there].astype("<i4").tobytes())])
     return run
 
 
@@ -113,7 +111,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for blob in batch.column(0).to_pylist():
-            both = np.frombuffer(zstandard.decompress(blob), "<i4")
+            both = np.frombuffer(blob, "<i4")
             half = len(both) // 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array(both[:half]), pa.array(both[half:].astype(np.int64))], names=["id", "n"])
@@ -238,13 +236,12 @@ def _filler(weights, mean: float, window: int, shard_docs: int, terms: int, k1:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf = weights.value
         code = "<u2" if len(idf) <= 1 << 16 else "<u4"
-        opener = zstandard.ZstdDecompressor()
         sequence = _TAILS | TaskContext.get().partitionId() << 36
         held: list[dict] = []
 
         def close() -> pa.RecordBatch:
             nonlocal sequence
-            tails = [np.frombuffer(opener.decompress(r["blob"]), code) for r in held]
+            tails = [np.frombuffer(r["blob"], code) for r in held]
             rows = []
             for row in fill(tails, Shard(tails, idf, mean, k1, b), window, terms):
                 total = sum(z - a for _, a, z in row)
