@@ -92,7 +92,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, *, bits: int, factors: int
     new = np.cumsum(chosen) - 1
     rng = np.random.default_rng(seed)
     k = int(chosen.sum())
-    model = Machine(terms[chosen].astype(np.int64), 0.0, np.zeros(k), rng.normal(0, 0.01, (k, factors)), bits)
+    model = Machine(terms[chosen].astype(np.int64), 0.0, np.zeros(k), rng.normal(0, 0.05, (k, factors)), bits)
     if share in (0.0, 1.0) or not k:
         share = min(max(share, 1e-6), 1 - 1e-6)
         model.bias = float(np.log(share / (1 - share)))
@@ -123,7 +123,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, *, bits: int, factors: int
             grad_v = np.stack([np.bincount(at, pull[:, f], len(touched)) for f in range(factors)], axis=1) \
                 / len(rows) + decay * model.factors[touched]
             square_v[touched] += grad_v ** 2
-            model.factors[touched] -= 0.1 * rate * grad_v / np.sqrt(square_v[touched])
+            model.factors[touched] -= rate * grad_v / np.sqrt(square_v[touched])
             grad_b = error.mean()
             square_b += grad_b ** 2
             model.bias -= rate * grad_b / np.sqrt(square_b)

@@ -19,7 +19,7 @@ class WordIds:
     words in a row.  Encoded words are kept in two generations of at most ``keep`` entries.
     """
 
-    def __init__(self, path: str, code: str = "<u4", keep: int = 400_000):
+    def __init__(self, path: str, code: str = "<u4", keep: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
