@@ -15,6 +15,7 @@ from cadastre.functions.text import trim_ws
 DOUBLE_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$|^(?i:nan)$"
 INTEGER_PATTERN = r"^[+-]?\d+$"
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
+DAY_OR_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
 
 
 def to_double(text: Column) -> Column:
@@ -39,7 +40,7 @@ def to_date(text: Column) -> Column:
 
 
 def repair_century(text: Column) -> Column:
-    """Read ``00YY-MM-DD…`` as 20YY-MM-DD; unusable text is NULL."""
+    """Read ``00YY-MM-DD``, with or without a time of day, as 20YY-MM-DD; other text is NULL."""
     year = F.substring(text, 1, 4).try_cast("int") + F.lit(2000)
-    # only the day part is read, a time of day after it is allowed
-    return F.concat(year.cast("string"), F.substring(text, 5, 6)).try_cast("date")
+    whole = F.concat(year.cast("string"), text.substr(F.lit(5), F.length(text)))
+    return F.when(whole.rlike(DAY_OR_TIME_PATTERN), whole.try_cast("timestamp_ntz").cast("date"))

@@ -16,7 +16,7 @@ WHITE_SPACE = (
 )
 
 # Characters after which a word starts, besides white space.
-WORD_DELIMITERS = "[](){}/|<>!?@\"^#$&~_,.:;*%+-"
+WORD_DELIMITERS = "[](){}/\\|<>!?@\"^#$&~_,.:;*%+-"
 
 # Known spellings of city names and the name each stands for.
 CITY_NAMES = {

@@ -32,29 +32,12 @@ def _all_present(keys: Sequence[str]) -> Column:
     return present
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; nothing is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-# A batch this many times smaller than the table is worth reading twice.
-SMALL_BATCH = 8
-
-
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows without a match in the target; NULL keys never match.
 
-    For a batch much smaller than the table the stored keys are first reduced
-    to those the batch has: a batch that can be broadcast then needs no shuffle
-    of the stored table.  Otherwise the distinct stored keys are looked up,
-    which evaluates the source once only.
+    The distinct stored keys are looked up, so the source is evaluated once.
     """
-    if _estimated_bytes(source) * SMALL_BATCH < _estimated_bytes(target):
-        wanted = source.where(_all_present(keys)).select(*keys)
-        known = target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
-    else:
-        known = _distinct_keys(target, keys)
-    return source.join(known, list(keys), "left_anti")
+    return source.join(_distinct_keys(target, keys), list(keys), "left_anti")
 
 
 def missing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

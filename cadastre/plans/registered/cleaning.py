@@ -111,10 +111,13 @@ def random_split(spark, sf):
 
 @query("century_fix", """
 SELECT event_id, CAST(TRY_CAST(CAST(CAST(substr(d, 1, 4) AS INT) + 2000 AS STRING) || substr(d, 5)
- AS DATE) AS DATE) AS fixed
-FROM (SELECT event_id, '00' || strftime(ts, '%y-%m-%d') AS d FROM events)""")
+ AS TIMESTAMP) AS DATE) AS fixed
+FROM (SELECT event_id, '00' || strftime(ts, '%y-%m-%d') || CASE event_id % 3 WHEN 1 THEN ' 10:11:12'
+ WHEN 2 THEN 'junk' ELSE '' END AS d FROM events)""")
 def century_fix(spark, sf):
-    text_date = F.concat(F.lit("00"), F.date_format("ts", "yy-MM-dd"))
+    rest = F.col("event_id") % 3
+    text_date = F.concat(F.lit("00"), F.date_format("ts", "yy-MM-dd"), F.when(rest == 1, " 10:11:12").when(
+        rest == 2, "junk").otherwise(""))
     return table(spark, sf, "events").select(
         "event_id", casts.repair_century(text_date).alias("fixed"))
 

@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from cadastre.functions.casts import to_double, to_integer
+from cadastre.functions.text import canonical_city, canonical_type
 from cadastre.operators import learning, metrics, registry
 from cadastre.operators.rows import check_rows, usable_rows
 from cadastre.plans.registered import base
@@ -196,7 +197,8 @@ def batch_score(spark, sf):
     _, model = _fitted(spark, sf, "regresion_lineal")
     requests = usable_rows(check_rows(raw_tx(spark, sf).withColumn("modelo", F.lit("regresion_lineal"))))
     typed = requests.select(
-        "id", "modelo", "ciudad", "tipo", to_double(F.col("area_m2")).alias("area_m2"),
+        "id", "modelo", canonical_city(F.col("ciudad")).alias("ciudad"),
+        canonical_type(F.col("tipo")).alias("tipo"), to_double(F.col("area_m2")).alias("area_m2"),
         to_integer(F.col("alcobas")).alias("alcobas"), to_integer(F.col("banos")).alias("banos"),
         to_double(F.col("lat")).alias("lat"), to_double(F.col("lon")).alias("lon"))
     return learning.score(model, typed)

@@ -156,7 +156,8 @@ def gap_distribution_overall(spark, sf):
     return profile.gap_distribution(table(spark, sf, "orders"), "o_orderdate")
 
 
-_SOURCES = ("lineitem", "orders", "events", "documents", "pages", "conversations")
+_SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+            "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @query("source_summary", " UNION ALL ".join(

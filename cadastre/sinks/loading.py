@@ -63,6 +63,14 @@ def _need_keys(load: Load, name: str) -> None:
         raise ValueError(f"{name} needs at least one key column")
 
 
+def _refuse_repeated(load: Load, target: DataFrame, name: str) -> None:
+    if load.unique_source:
+        return
+    repeated = merge.repeated_source_keys(load.source, target, load.keys).take(1)
+    if repeated:
+        raise ValueError(f"{name} source holds a stored key more than once: {repeated[0]}")
+
+
 @strategy("FULL")
 def load_full(load: Load) -> LoadResult:
     """Replace all rows."""
@@ -89,10 +97,7 @@ def load_upsert(load: Load) -> LoadResult:
     if not [c for c in load.source.columns if c not in load.keys]:
         raise ValueError("UPSERT needs at least one column besides the keys")
     target = load.warehouse.table(load.table)
-    if not load.unique_source:
-        repeated = merge.repeated_source_keys(load.source, target, load.keys).take(1)
-        if repeated:
-            raise ValueError(f"UPSERT source holds a stored key more than once: {repeated[0]}")
+    _refuse_repeated(load, target, "UPSERT")
     rows, counts = _observed(merge.upsert_load(load.source, target, load.keys, load.defaults))
     load.warehouse.swap(load.table, rows, load.sort_by)
     return LoadResult(counts.get["inserted"], counts.get["updated"])
@@ -103,6 +108,7 @@ def load_sync(load: Load, touch: bool = False) -> LoadResult:
     """Make the table equal to the source, dropping what the source lacks."""
     _need_keys(load, "SYNC")
     target = load.warehouse.table(load.table)
+    _refuse_repeated(load, target, "SYNC")
     before = target.count()
     rows, counts = _observed(
         merge.sync_load(load.source, target, load.keys, load.defaults, touch))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadastre.functions.text import trim_ws
+
 CORRUPT = "__corrupt"
 
 
@@ -46,6 +48,6 @@ def count_lines(spark: SparkSession, path: str, skip: int = 1) -> DataFrame:
     Counts physical lines, so a quoted line break adds to it.
     """
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), (F.trim("value") != "").alias("filled"))
+        F.col("_metadata.file_path").alias("file"), (trim_ws(F.col("value")) != "").alias("filled"))
     return lines.groupBy("file").agg(
         F.greatest(F.count_if("filled") - skip, F.lit(0)).alias("lines"))

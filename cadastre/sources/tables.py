@@ -12,19 +12,6 @@ from pyspark.sql import types as T
 from cadastre.operators.features import minimum_price
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a scan of few row groups one task per core; leave a large one as it is.
-
-    A table that arrives as a handful of files is read by as many tasks, which
-    then do all the work up to the first shuffle.  At cluster size the scan has
-    more splits than there are cores and no shuffle is added.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def feature_scan(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                  target: str, price_minimum: int = 0) -> DataFrame:
     """Model columns only, at or above a minimum target; both reach the file scan."""

@@ -124,3 +124,14 @@ def test_null_key_is_test(spark):
 def test_unknown_hash_is_refused():
     with pytest.raises(ValueError):
         numeric.hash_bucket(F.lit("x"), 10, method="crc")
+
+
+def test_century_repair_reads_the_whole_text(spark):
+    got = apply(spark, casts.repair_century,
+                ["0024-03-05garbage", "0024-03-05 10:11:12", "0024-03-05 25:00", "0024-03-05T10:11"])
+    assert [str(d) if d else None for d in got] == [None, "2024-03-05", None, "2024-03-05"]
+
+
+def test_backslash_ends_a_word(spark):
+    from cadastre.functions import text
+    assert apply(spark, text.title_words, ["a\\b c"]) == ["A\\B C"]
