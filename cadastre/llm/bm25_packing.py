@@ -87,7 +87,8 @@ def _encoder(vocabulary: str, size: int, window: int, end_id: int):
                 whole = ids[:cut].astype("<u4").tobytes()
                 crcs = [zlib.crc32(whole[i:i + 4 * window]) for i in range(0, 4 * cut, 4 * window)]
                 tail = ids[cut:]
-                distinct = np.unique(tail)
+                ordered = np.sort(tail)
+                distinct = ordered[np.append(True, ordered[1:] != ordered[:-1])] if len(tail) else ordered
                 seen[distinct] += 1
                 rows.append((0, key, len(ids), cut, len(tail),
                              int(codes[distinct].min()) if len(tail) else 0, sequence,
@@ -140,22 +141,25 @@ class Shard:
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float, k1: float, b: float):
         sizes = np.array([len(t) for t in tails], np.int64)
-        pairs = (np.repeat(np.arange(len(tails), dtype=np.int64), sizes) << 32) \
-            | np.concatenate(tails).astype(np.int64)
+        shift = max(1, len(idf) - 1).bit_length()
+        kind = np.uint32 if len(tails) << shift < 1 << 32 else np.uint64
+        pairs = np.repeat(np.arange(len(tails), dtype=kind) << kind(shift), sizes) \
+            | np.concatenate(tails).astype(kind)
         pairs.sort()
         first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
         times = np.diff(np.append(first, len(pairs)))
-        owner, term = pairs[first] >> 32, pairs[first] & 0xFFFFFFFF
+        pairs = pairs[first]
+        owner = (pairs >> kind(shift)).astype(np.int64)
+        term = (pairs & kind((1 << shift) - 1)).astype(np.uint16 if shift <= 16 else np.uint32)
         long = k1 * (1 - b + b * sizes[owner] / mean)
         weight = (idf[term] * times * (k1 + 1) / (times + long)).astype(np.float32)
         self.n = len(tails)
-        self.terms, self.bounds = term, np.searchsorted(owner, np.arange(self.n + 1))
+        self.bounds = np.searchsorted(owner, np.arange(self.n + 1))
         self.rank = idf[term] * times
         by_term = np.argsort(term, kind="stable")
         self.owners, self.weights = owner[by_term], weight[by_term]
-        sorted_terms = term[by_term]
-        self.starts = np.searchsorted(sorted_terms, term)
-        self.ends = np.searchsorted(sorted_terms, term, "right")
+        place = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(idf)))])
+        self.starts, self.ends = place[term], place[1:][term]
 
     def neighbours(self, seed: int, terms: int) -> np.ndarray:
         """Tails that share one of the seed's heaviest ids, best first."""
