@@ -72,17 +72,16 @@ def pack(docs: DataFrame, vocabulary: str, vocabulary_size: int, *, key: str = "
 
 def _encoder(vocabulary: str, size: int, window: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = word_ids(vocabulary, "<u2" if size <= 1 << 16 else "<u4"), None
-        width = np.dtype(encoder.code).itemsize
-        end = end_id.to_bytes(width, "little")
+        encoder = word_ids(vocabulary, "<u2" if size <= 1 << 16 else "<u4")
         codes = words.mix(np.arange(1, size + 1, dtype=np.uint64)) >> np.uint64(1)
         seen = np.zeros(size, np.int32)
         sequence = TaskContext.get().partitionId() << 36
         for block in shared.blocks(batches, "text"):
             rows = []
-            for key, raw in zip(block.column("key").to_pylist(),
-                                block.column("text").cast(pa.binary()).to_pylist()):
-                ids = np.frombuffer(encoder.encode(raw) + end, encoder.code)
+            found, bounds = encoder.encode(block.column("text"))
+            places = bounds.tolist()
+            for key, a, z in zip(block.column("key").to_pylist(), places[:-1], places[1:]):
+                ids = np.append(found[a:z], encoder.code.type(end_id))
                 cut = len(ids) // window * window
                 whole = ids[:cut].astype("<u4").tobytes()
                 crcs = [zlib.crc32(whole[i:i + 4 * window]) for i in range(0, 4 * cut, 4 * window)]

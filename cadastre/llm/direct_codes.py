@@ -186,9 +186,10 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, *, key: str
                 names=["partition", "part_no", "path", "n_texts", "n_tokens"])
 
         for block in shared.blocks(batches, "text"):
-            for k, raw in zip(block.column("key").to_pylist(),
-                              block.column("text").cast(pa.binary()).to_pylist()):
-                made = encoder.encode(raw) + end
+            found, bounds = encoder.encode(block.column("text"))
+            places = bounds.tolist()
+            for k, a, z in zip(block.column("key").to_pylist(), places[:-1], places[1:]):
+                made = found[a:z].tobytes() + end
                 if ids and held + len(made) // 4 > file_tokens:
                     yield close()
                 keys.append(k)

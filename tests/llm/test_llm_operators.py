@@ -385,3 +385,19 @@ def test_pipeline_on_the_small_tables(spark, sf_dir):
         kept = docs.count()
     rows = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert rows.select("doc_id").distinct().count() == kept
+
+
+def test_word_ids_match_the_library_in_small_spans_and_tables():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    from cadastre.llm.word_ids import WordIds
+    plain = Tokenizer.from_file(WORDS)
+    plain.encode_special_tokens = True
+    rng = np.random.default_rng(3)
+    letters = list("abAB'.,&<>|1 \ń̸éÉÀ×÷ÃΣσ日s'td")
+    texts = ["", None, "   ", "x" * 30_000, "a≮b é <é'd&'s", "ΣΑΣ ΣΑΣ. ﬁ İI", "<|endoftext|>a b\x1cc\x85d",
+             *("".join(rng.choice(letters, 40)) for _ in range(800))]
+    for encoder in (WordIds(WORDS), WordIds(WORDS, "<u2", keep=100, step=500)):
+        ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+        wanted = plain.encode_batch([t or "" for t in texts], add_special_tokens=False)
+        assert [ids[a:z].tolist() for a, z in zip(bounds[:-1], bounds[1:])] == [w.ids for w in wanted]
