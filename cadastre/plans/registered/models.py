@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadastre.functions.casts import to_double, to_integer
 from cadastre.functions.text import canonical_city, canonical_type
 from cadastre.operators import learning, metrics, registry
-from cadastre.operators.rows import check_rows, usable_rows
+from cadastre.operators.rows import ERRORS, check_rows
 from cadastre.plans.registered import base
 from cadastre.plans.registered.base import query, raw_tx, sql_bucket, table
 from cadastre.schemas import MODEL_CATEGORICAL, MODEL_NUMERIC, TARGET
@@ -80,7 +80,7 @@ def cv_summary(spark, sf):
     return summary.select(*[F.round(c, 4).alias(c) for c in summary.columns])
 
 
-@query("hash_sample")
+@query("hash_sample", f"{_PREDICTED_SQL} SELECT id, y, p FROM predicted ORDER BY md5(id || '#42'), id LIMIT 10")
 def hash_sample(spark, sf):
     return metrics.hash_sample(_predicted(spark, sf), "id", 10).select("id", "y", "p")
 
@@ -148,33 +148,59 @@ def promote_best(spark, sf):
 
 
 # --- fitting and scoring ----------------------------------------------------
-def _training_frames(spark, sf):
-    frame = base.features(spark, sf).select(
-        "propiedad_id", *MODEL_NUMERIC, *MODEL_CATEGORICAL, TARGET, "split").persist()
-    return frame, frame.where("split = 'train'"), frame.where("split = 'test'")
+def _training_frame(spark, sf):
+    return base.features(spark, sf).select(
+        "propiedad_id", *MODEL_NUMERIC, *MODEL_CATEGORICAL, TARGET, "split")
 
 
-def _fitted(spark, sf, name):
-    frame, train, _ = _training_frames(spark, sf)
-    model = learning.fit(train, name, learning.STANDARD_PARAMETERS[name],
-                         MODEL_NUMERIC, MODEL_CATEGORICAL, TARGET)
-    return frame, model
+def _fitted(frame, name):
+    """Fit on the train rows; they are cached for the passes of the fit only."""
+    train = frame.where("split = 'train'").persist()
+    try:
+        return learning.fit(train, name, learning.STANDARD_PARAMETERS[name],
+                            MODEL_NUMERIC, MODEL_CATEGORICAL, TARGET)
+    finally:
+        train.unpersist()
 
 
-@query("ml_preprocess")
+def _scaled_sql(column):
+    value = f"CAST({column} AS DOUBLE)"
+    filled = f"coalesce({value}, (SELECT quantile_cont({value}, 0.5) FROM train), 0)"
+    spread = f"(SELECT stddev_pop({filled}) FROM train)"
+    return (f"round(({filled} - (SELECT avg({filled}) FROM train))"
+            f" / CASE WHEN {spread} > 0 THEN {spread} ELSE 1 END, 6) AS n_{column}")
+
+
+def _index_sql(column):
+    """Place of the category among those of the train rows; an unknown one comes after them."""
+    value = f"coalesce({column}, '{learning.UNKNOWN}')"
+    known = f"SELECT list(DISTINCT {value} ORDER BY {value}) FROM train"
+    return f"CAST(coalesce(list_position(({known}), {value}) - 1, len(({known}))) AS DOUBLE) AS i_{column}"
+
+
+@query("ml_preprocess", """
+, train AS (SELECT * FROM features WHERE split = 'train')
+SELECT propiedad_id, """ + ", ".join(
+    [*map(_scaled_sql, MODEL_NUMERIC), *map(_index_sql, MODEL_CATEGORICAL)])
+    + " FROM features WHERE split = 'test'")
 def ml_preprocess(spark, sf):
-    _, train, test = _training_frames(spark, sf)
-    stages = learning.preprocessing_stages(train, MODEL_NUMERIC, MODEL_CATEGORICAL)
-    prepared = Pipeline(stages=stages).fit(train).transform(test)
-    return prepared.select("propiedad_id", *[f"__n_{c}" for c in MODEL_NUMERIC],
-                           *[f"__i_{c}" for c in MODEL_CATEGORICAL])
+    frame = _training_frame(spark, sf)
+    train, test = frame.where("split = 'train'").persist(), frame.where("split = 'test'")
+    try:
+        stages = learning.preprocessing_stages(train, MODEL_NUMERIC, MODEL_CATEGORICAL)
+        prepared = Pipeline(stages=stages).fit(train).transform(test)
+    finally:
+        train.unpersist()
+    return prepared.select(
+        "propiedad_id", *[F.round(f"__n_{c}", 6).alias(f"n_{c}") for c in MODEL_NUMERIC],
+        *[F.col(f"__i_{c}").alias(f"i_{c}") for c in MODEL_CATEGORICAL])
 
 
 def _model_query(key, name):
     @query(key)
     def evaluate(spark, sf):
-        frame, model = _fitted(spark, sf, name)
-        return learning.evaluate(model, frame, TARGET, by=["split"]).withColumn(
+        frame = _training_frame(spark, sf)
+        return learning.evaluate(_fitted(frame, name), frame, TARGET, by=["split"]).withColumn(
             "modelo", F.lit(name))
     return evaluate
 
@@ -187,18 +213,55 @@ _model_query("ml_gbt", "xgboost")
 
 @query("cv_metrics")
 def cv_metrics(spark, sf):
-    _, train, _ = _training_frames(spark, sf)
+    train = _training_frame(spark, sf).where("split = 'train'")
     return learning.cross_validate(
         train, "propiedad_id", "regresion_lineal", {}, MODEL_NUMERIC, MODEL_CATEGORICAL, TARGET)
 
 
+# a regression on one number has a closed form, so SQL can check fit, evaluation and folds
+def _order_lines(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("id"),
+        F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("y"))
+
+
+_LINES_SQL = f"""
+, lines AS (SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS id,
+ CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem)
+, folded AS (SELECT *, {sql_bucket('id', 5, '#42')} AS fold FROM lines)"""
+
+
+@query("linear_one_feature", f"""{_LINES_SQL}
+, fitted AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM lines)
+, predicted AS (SELECT y, i + s * x AS p FROM lines, fitted)""" + _rounded_sql(_metrics_sql("predicted", "")))
+def linear_one_feature(spark, sf):
+    lines = _order_lines(spark, sf)
+    model = learning.fit(lines, "regresion_lineal", {}, ["x"], [], "y")
+    return _rounded(learning.evaluate(model, lines, "y"))
+
+
+@query("cv_one_feature", f"""{_LINES_SQL}
+, fitted AS (SELECT f.fold, regr_slope(y, x) AS s, regr_intercept(y, x) AS i
+ FROM (SELECT DISTINCT fold FROM folded) f JOIN folded t ON t.fold <> f.fold GROUP BY f.fold)
+, predicted AS (SELECT CAST(fold AS INT) AS fold, y, i + s * x AS p FROM folded JOIN fitted USING (fold))"""
+       + _rounded_sql(_metrics_sql("predicted", "fold"), "fold, "))
+def cv_one_feature(spark, sf):
+    return _rounded(learning.cross_validate(
+        _order_lines(spark, sf), "id", "regresion_lineal", {}, ["x"], [], "y"))
+
+
 @query("batch_score")
 def batch_score(spark, sf):
-    _, model = _fitted(spark, sf, "regresion_lineal")
-    requests = usable_rows(check_rows(raw_tx(spark, sf).withColumn("modelo", F.lit("regresion_lineal"))))
-    typed = requests.select(
+    """Every request: usable ones with a price as of a fixed day, the others with their errors."""
+    model = _fitted(_training_frame(spark, sf), "regresion_lineal")
+    checked = check_rows(raw_tx(spark, sf).withColumn("modelo", F.lit("regresion_lineal")))
+    typed = checked.select(
         "id", "modelo", canonical_city(F.col("ciudad")).alias("ciudad"),
         canonical_type(F.col("tipo")).alias("tipo"), to_double(F.col("area_m2")).alias("area_m2"),
         to_integer(F.col("alcobas")).alias("alcobas"), to_integer(F.col("banos")).alias("banos"),
-        to_double(F.col("lat")).alias("lat"), to_double(F.col("lon")).alias("lon"))
-    return learning.score(model, typed)
+        to_double(F.col("lat")).alias("lat"), to_double(F.col("lon")).alias("lon"), ERRORS)
+    scored = learning.score(model, typed, F.lit("2026-01-01").cast("timestamp"))
+    usable = F.size(ERRORS) == 0
+    return scored.withColumns({
+        "precio_estimado": F.when(usable, F.col("precio_estimado")),
+        ERRORS: F.array_join(ERRORS, "; ")})

@@ -8,7 +8,7 @@ from tools.check_oracle import compare, connect
 
 # Rows-only queries that are quick enough to run here; fitting the large
 # ensembles is covered with small parameters in test_learning.py.
-ROWS_ONLY = ("random_split", "hash_sample", "ml_preprocess", "ml_linear", "batch_score")
+ROWS_ONLY = ("random_split", "ml_linear", "batch_score")
 
 
 @pytest.fixture(scope="module")
