@@ -174,8 +174,11 @@ def blocks_of(found: DataFrame, most: int, block_sets: int) -> DataFrame:
     return many.join(placed, ["doc", "f1"])
 
 
-def contents(texts: DataFrame, needed: DataFrame, size: int, fragments: int, order) -> DataFrame:
-    """Order keys of each needed set by fragment of the global order: doc, f1, fragment, n, keys."""
+def contents(wanted: DataFrame, size: int, fragments: int, order, carried: str) -> DataFrame:
+    """Order keys of each wanted set by fragment of the global order: doc, f1, fragment, n, keys.
+
+    ``wanted``: key, text, f1 and one more column, ``carried``, which every fragment keeps.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = order.value
         # the last fragment is that of the frequent shingles
@@ -183,19 +186,20 @@ def contents(texts: DataFrame, needed: DataFrame, size: int, fragments: int, ord
                         np.uint64)
         for block in shared.blocks(batches, "text", 8 << 20):
             out: list[tuple] = []
-            for doc, f1, own in zip(block.column("key").to_pylist(), block.column("f1").to_pylist(),
-                                    _sets(block, size)):
+            for row, (doc, f1, own) in enumerate(zip(
+                    block.column("key").to_pylist(), block.column("f1").to_pylist(), _sets(block, size))):
                 if len(own) and int(words.mix(own).sum().view(np.int64)) == f1:
                     parts = np.split(ordered := _ordered(own, frequent, rank),
                                      np.searchsorted(ordered, cuts))
-                    out += [(doc, f1, k, len(own), part.tobytes()) for k, part in enumerate(parts)]
+                    out += [(doc, f1, k, len(own), part.tobytes(), row) for k, part in enumerate(parts)]
             if out:
-                columns = list(zip(*out))
-                yield _batch("doc f1 fragment n keys", *columns[:4], pa.array(columns[4], pa.binary()))
+                *columns, keys, rows = zip(*out)
+                yield _batch(f"doc f1 fragment n keys {carried}", *columns, pa.array(keys, pa.binary()),
+                             block.column(carried).take(pa.array(rows)))
 
-    return (texts.join(needed.select(F.col("doc").alias("key"), "f1"), "key")
-            .mapInArrow(run, "doc long, f1 long, fragment long, n long, keys binary")
-            .dropDuplicates(["doc", "f1", "fragment"]))
+    kind = wanted.schema[carried].dataType.simpleString()
+    return (wanted.select("key", "text", "f1", carried)
+            .mapInArrow(run, f"doc long, f1 long, fragment long, n long, keys binary, {carried} {kind}"))
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,21 +213,31 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             at = np.minimum(np.searchsorted(b, a), len(b) - 1)
             shared_keys.append(int((b[at] == a).sum()))
-        names = ["x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n"]
+        names = ["x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n", "fragment"]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(shared_keys, pa.int64())],
                                          names=[*names, "common"])
 
 
-def pair_links(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs at or above the threshold, by the sum of their fragments' counts."""
-    x = parts.select(F.col("doc").alias("x_doc"), F.col("f1").alias("x_f1"), "fragment",
-                     F.col("keys").alias("x_keys"))
-    y = parts.select(F.col("doc").alias("y_doc"), F.col("f1").alias("y_f1"), "fragment",
-                     F.col("keys").alias("y_keys"))
-    both = pairs.join(x, ["x_doc", "x_f1"]).join(y, ["y_doc", "y_f1", "fragment"])
-    return (both.mapInArrow(_overlaps, "x_doc long, x_f1 long, x_n long, y_doc long, y_f1 long, "
-                                       "y_n long, common long")
-            .groupBy("x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n").agg(F.sum("common").alias("common"))
+def pair_links(pairs: DataFrame, texts: DataFrame, percent: int, size: int, fragments: int, order) -> DataFrame:
+    """Pairs at or above the threshold, by the sum of their fragments' counts.
+
+    The partners of a set are a list while its text is cut up, and rows afterwards; the list is
+    bounded by the prefix of the set and the size of a small bucket.
+    """
+    pair = ["x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n"]
+    firsts = pairs.select(F.col("x_doc").alias("key"), F.col("x_f1").alias("f1"), "x_n").distinct()
+    seconds = (pairs.groupBy(F.col("y_doc").alias("key"), F.col("y_f1").alias("f1"))
+               .agg(F.collect_list(F.struct("x_doc", "x_f1", "x_n")).alias("partners")))
+    x = (contents(texts.join(firsts, "key"), size, fragments, order, "x_n")
+         .select(F.col("doc").alias("x_doc"), F.col("f1").alias("x_f1"), "fragment", F.col("keys").alias("x_keys")))
+    y = (contents(texts.join(seconds, "key"), size, fragments, order, "partners")
+         .select(F.inline("partners"), F.col("doc").alias("y_doc"), F.col("f1").alias("y_f1"),
+                 F.col("n").alias("y_n"), "fragment", F.col("keys").alias("y_keys")))
+    return (y.join(x, ["x_doc", "x_f1", "fragment"])
+            .mapInArrow(_overlaps, ", ".join(f"{c} long" for c in (*pair, "fragment", "common")))
+            # repeated rows of a text count once
+            .groupBy(*pair, "fragment").agg(F.max("common").alias("common"))
+            .groupBy(*pair).agg(F.sum("common").alias("common"))
             .where(f"100 * common >= {percent} * (x_n + y_n - common)")
             .select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b")))
 
@@ -231,7 +245,8 @@ def pair_links(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 def _block_counts(key: tuple, group):
     """Common shingles of every pair of one fragment of two blocks, as one matrix."""
     import pandas as pd
-    group = group.sort_values(["side", "doc", "f1"], kind="stable")
+    # repeated rows of a text count once
+    group = group.drop_duplicates(["side", "doc", "f1"]).sort_values(["side", "doc", "f1"], kind="stable")
     left, right = (group["side"] == 0).to_numpy(), (group["side"] == group["side"].max()).to_numpy()
     parts = [np.frombuffer(k, np.uint64) for k in group["keys"]]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -279,16 +294,18 @@ def _block_links(percent: int):
     return run
 
 
-def block_links(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def block_links(members: DataFrame, texts: DataFrame, percent: int, size: int, fragments: int,
+                order) -> DataFrame:
     """Links among the members of larger buckets, block against block."""
     at = members.select("shingle", "block").distinct()
     meet = (at.select("shingle", F.col("block").alias("one"))
             .join(at.select("shingle", F.col("block").alias("two")), "shingle")
             .where("one <= two").select("one", "two").distinct())
-    sets = members.select("block", "doc", "f1").distinct().join(parts, ["doc", "f1"])
-    first = meet.join(sets, F.col("one") == F.col("block")).withColumn("side", F.lit(0))
-    second = meet.where("one < two").join(sets, F.col("two") == F.col("block")).withColumn("side", F.lit(1))
-    return (first.unionByName(second).select("one", "two", "fragment", "side", "doc", "f1", "n", "keys")
+    goes = (meet.select(F.col("one").alias("block"), "one", "two", F.lit(0).alias("side"))
+            .union(meet.where("one < two").select("two", "one", "two", F.lit(1))))
+    homes = members.select(F.col("doc").alias("key"), "f1", "block").distinct()
+    sets = contents(texts.join(homes, "key"), size, fragments, order, "block")
+    return (sets.join(goes, "block").select("one", "two", "fragment", "side", "doc", "f1", "n", "keys")
             .groupBy("one", "two", "fragment")
             .applyInPandas(lambda key, group: _block_counts(key, group),
                            "one long, two long, counts binary, docs binary, sizes binary, sides binary")
@@ -311,10 +328,12 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     found = shared.stored(buckets(texts, size, percent, order), "buckets")
     pairs = shared.stored(small_pairs(found, percent, most), "pairs")
     members = shared.stored(blocks_of(found, most, block_sets), "blocks")
-    needed = (pairs.select(F.col("x_doc").alias("doc"), F.col("x_f1").alias("f1"))
-              .union(pairs.select("y_doc", "y_f1")).union(members.select("doc", "f1")).distinct())
-    parts = shared.stored(contents(texts, needed, size, fragments, order), "fragments")
-    links = pair_links(pairs, parts, percent).union(block_links(members, parts, percent))
+    needed = (pairs.select(F.col("x_doc").alias("key")).union(pairs.select("y_doc"))
+              .union(members.select("doc")).distinct())
+    # texts are smaller than their sets, so these travel and are stored in place of the sets
+    wanted = shared.stored(texts.join(needed, "key", "left_semi").distinct(), "texts")
+    cut = (percent, size, fragments, order)
+    links = pair_links(pairs, wanted, *cut).union(block_links(members, wanted, *cut))
     reached = components(links)
 
     sets = measured.where("kind = 0").drop("kind")
