@@ -6,7 +6,9 @@
    Counts are taken over all texts; the order only has to be the same everywhere, so the list of
    frequent shingles may be cut at ``frequent`` entries without touching the result.
 3. Sets above the threshold share one of the first shingles of both (prefix); buckets of equal
-   prefix shingles give candidate pairs, filtered by sizes and by the places of the shingle.
+   prefix shingles give candidate pairs, filtered by sizes and by the places of the shingle, then
+   by parity bitmaps: one bit per shingle or so; sets differ in at least as many shingles as their
+   bitmaps in bits, so no link is lost and whole sets travel for few other pairs.
 4. The order is cut into ``fragments``.  Each fragment of each candidate pair is intersected on
    its own, and the partial counts are summed per pair.
 5. Linked pairs are joined to components.
@@ -30,6 +32,8 @@ from cadastre.llm import shared, words
 from cadastre.llm.components import components
 
 _TOP = np.uint64(1 << 62)
+_PAIR = ["x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n"]
+_PAIR_TYPE = ", ".join(f"{c} long" for c in _PAIR)
 
 
 def _sets(block: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
@@ -166,7 +170,7 @@ def blocks_of(found: DataFrame, most: int, block_sets: int) -> DataFrame:
     A set lives in the block of its smallest shared shingle; a shingle's sets are spread over as
     many blocks as they need, so a block holds about ``block_sets`` sets however many share one.
     """
-    many = found.where(F.col("sharing") > most).select("shingle", "doc", "f1")
+    many = found.where(F.col("sharing") > most).select("shingle", "doc", "f1", "n")
     home = many.groupBy("doc", "f1").agg(F.min("shingle").alias("home"))
     counts = home.groupBy("home").agg(F.ceil(F.count("*") / block_sets).alias("parts"))
     placed = home.join(counts, "home").select(
@@ -174,11 +178,60 @@ def blocks_of(found: DataFrame, most: int, block_sets: int) -> DataFrame:
     return many.join(placed, ["doc", "f1"])
 
 
-def contents(wanted: DataFrame, size: int, fragments: int, order, carried: str) -> DataFrame:
-    """Order keys of each wanted set by fragment of the global order: doc, f1, fragment, n, keys.
+def _bitmap(own: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles per place; as many places as shingles, rounded up to a power of two."""
+    places = max(256, 1 << (len(own) - 1).bit_length())
+    counts = np.bincount((own & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(np.uint8))
 
-    ``wanted``: key, text, f1 and one more column, ``carried``, which every fragment keeps.
-    """
+
+def _folded(bitmap: np.ndarray, size: int) -> np.ndarray:
+    """The bitmap of the same set over fewer places."""
+    while bitmap.shape[-1] > size:
+        half = bitmap.shape[-1] // 2
+        bitmap = bitmap[..., :half] ^ bitmap[..., half:]
+    return bitmap
+
+
+def bitmaps(texts: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """Parity bitmap of each needed text: doc, f1, bits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in shared.blocks(batches, "text", 8 << 20):
+            rows = [(doc, int(words.mix(own).sum().view(np.int64)), _bitmap(own).tobytes())
+                    for doc, own in zip(block.column("key").to_pylist(), _sets(block, size)) if len(own)]
+            if rows:
+                doc, f1, bits = zip(*rows)
+                yield _batch("doc f1 bits", doc, f1, pa.array(bits, pa.binary()))
+
+    return (texts.join(needed, "key", "left_semi")
+            .mapInArrow(run, "doc long, f1 long, bits binary").dropDuplicates(["doc", "f1"]))
+
+
+def _may_link(n_x, n_y, differing, percent: int):
+    """Whether sets of these sizes that differ in so many shingles, or more, may link."""
+    return (100 + percent) * (n_x + n_y - differing) >= 2 * percent * (n_x + n_y)
+
+
+def near_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps do not rule a link out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differing = []
+            for x, y in zip(batch.column("x_bits").to_pylist(), batch.column("y_bits").to_pylist()):
+                size = min(len(x), len(y))
+                differing.append(int(np.bitwise_count(
+                    _folded(np.frombuffer(x, np.uint8), size) ^ _folded(np.frombuffer(y, np.uint8), size)).sum()))
+            n_x, n_y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("x_n", "y_n"))
+            yield batch.filter(pa.array(_may_link(n_x, n_y, np.array(differing, np.int64), percent))).select(_PAIR)
+
+    for side in "xy":
+        pairs = pairs.join(maps.select(F.col("doc").alias(f"{side}_doc"), F.col("f1").alias(f"{side}_f1"),
+                                       F.col("bits").alias(f"{side}_bits")), [f"{side}_doc", f"{side}_f1"])
+    return pairs.select(*_PAIR, "x_bits", "y_bits").mapInArrow(run, _PAIR_TYPE)
+
+
+def contents(texts: DataFrame, size: int, fragments: int, order) -> DataFrame:
+    """Order keys of each text's set by fragment of the global order: doc, f1, fragment, n, keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = order.value
         # the last fragment is that of the frequent shingles
@@ -186,20 +239,18 @@ def contents(wanted: DataFrame, size: int, fragments: int, order, carried: str)
                         np.uint64)
         for block in shared.blocks(batches, "text", 8 << 20):
             out: list[tuple] = []
-            for row, (doc, f1, own) in enumerate(zip(
-                    block.column("key").to_pylist(), block.column("f1").to_pylist(), _sets(block, size))):
+            for doc, f1, own in zip(block.column("key").to_pylist(), block.column("f1").to_pylist(),
+                                    _sets(block, size)):
                 if len(own) and int(words.mix(own).sum().view(np.int64)) == f1:
                     parts = np.split(ordered := _ordered(own, frequent, rank),
                                      np.searchsorted(ordered, cuts))
-                    out += [(doc, f1, k, len(own), part.tobytes(), row) for k, part in enumerate(parts)]
+                    out += [(doc, f1, k, len(own), part.tobytes()) for k, part in enumerate(parts)]
             if out:
-                *columns, keys, rows = zip(*out)
-                yield _batch(f"doc f1 fragment n keys {carried}", *columns, pa.array(keys, pa.binary()),
-                             block.column(carried).take(pa.array(rows)))
+                *columns, keys = zip(*out)
+                yield _batch("doc f1 fragment n keys", *columns, pa.array(keys, pa.binary()))
 
-    kind = wanted.schema[carried].dataType.simpleString()
-    return (wanted.select("key", "text", "f1", carried)
-            .mapInArrow(run, f"doc long, f1 long, fragment long, n long, keys binary, {carried} {kind}"))
+    return (texts.select("key", "text", "f1")
+            .mapInArrow(run, "doc long, f1 long, fragment long, n long, keys binary"))
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,35 +264,76 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             at = np.minimum(np.searchsorted(b, a), len(b) - 1)
             shared_keys.append(int((b[at] == a).sum()))
-        names = ["x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n", "fragment"]
+        names = [*_PAIR, "fragment"]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(shared_keys, pa.int64())],
                                          names=[*names, "common"])
 
 
 def pair_links(pairs: DataFrame, texts: DataFrame, percent: int, size: int, fragments: int, order) -> DataFrame:
-    """Pairs at or above the threshold, by the sum of their fragments' counts.
-
-    The partners of a set are a list while its text is cut up, and rows afterwards; the list is
-    bounded by the prefix of the set and the size of a small bucket.
-    """
-    pair = ["x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n"]
-    firsts = pairs.select(F.col("x_doc").alias("key"), F.col("x_f1").alias("f1"), "x_n").distinct()
-    seconds = (pairs.groupBy(F.col("y_doc").alias("key"), F.col("y_f1").alias("f1"))
-               .agg(F.collect_list(F.struct("x_doc", "x_f1", "x_n")).alias("partners")))
-    x = (contents(texts.join(firsts, "key"), size, fragments, order, "x_n")
-         .select(F.col("doc").alias("x_doc"), F.col("f1").alias("x_f1"), "fragment", F.col("keys").alias("x_keys")))
-    y = (contents(texts.join(seconds, "key"), size, fragments, order, "partners")
-         .select(F.inline("partners"), F.col("doc").alias("y_doc"), F.col("f1").alias("y_f1"),
-                 F.col("n").alias("y_n"), "fragment", F.col("keys").alias("y_keys")))
-    return (y.join(x, ["x_doc", "x_f1", "fragment"])
-            .mapInArrow(_overlaps, ", ".join(f"{c} long" for c in (*pair, "fragment", "common")))
+    """Pairs at or above the threshold, by the sum of their fragments' counts."""
+    def side(name: str) -> DataFrame:
+        one = pairs.select(F.col(f"{name}_doc").alias("key"), F.col(f"{name}_f1").alias("f1")).distinct()
+        return contents(texts.join(one, "key"), size, fragments, order).select(
+            F.col("doc").alias(f"{name}_doc"), F.col("f1").alias(f"{name}_f1"), "fragment",
+            F.col("keys").alias(f"{name}_keys"))
+
+    return (pairs.join(side("x"), ["x_doc", "x_f1"]).join(side("y"), ["y_doc", "y_f1", "fragment"])
+            .mapInArrow(_overlaps, f"{_PAIR_TYPE}, fragment long, common long")
             # repeated rows of a text count once
-            .groupBy(*pair, "fragment").agg(F.max("common").alias("common"))
-            .groupBy(*pair).agg(F.sum("common").alias("common"))
+            .groupBy(*_PAIR, "fragment").agg(F.max("common").alias("common"))
+            .groupBy(*_PAIR).agg(F.sum("common").alias("common"))
             .where(f"100 * common >= {percent} * (x_n + y_n - common)")
             .select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b")))
 
 
+def _block_near(percent: int, dense: int):
+    def run(key: tuple, group):
+        """Pairs of two blocks that may link; one row without a pair where they are too many to list."""
+        import pandas as pd
+        group = group.drop_duplicates(["side", "doc", "f1"]).sort_values(["n", "doc", "f1"], kind="stable")
+        doc, f1, n, side = (group[c].to_numpy(np.int64) for c in ("doc", "f1", "n", "side"))
+        bits = [np.frombuffer(b, np.uint8) for b in group["bits"]]
+        sizes = np.array([len(b) for b in bits])
+        # row i of level s: the bitmap of set i over s bytes, for sets that have so many
+        levels = {s: np.stack([_folded(b, s) if len(b) >= s else np.zeros(s, np.uint8) for b in bits])
+                  for s in set(sizes.tolist())}
+        found = []
+        for i in range(len(bits)):
+            # partners are no smaller, and no larger than the threshold allows
+            j = np.arange(i + 1, np.searchsorted(n, 100 * n[i] // percent, "right"))
+            if key[0] != key[1]:
+                j = j[side[j] != side[i]]
+            if len(j):
+                level = levels[int(sizes[i])]
+                differing = np.bitwise_count(level[j] ^ level[i]).sum(axis=1, dtype=np.int64)
+                found += [(i, k) for k in j[_may_link(n[i], n[j], differing, percent)].tolist()]
+        if len(found) > dense * len(bits):
+            return pd.DataFrame([(*key, True, 0, 0, 0, 0, 0, 0)], columns=["one", "two", "dense", *_PAIR])
+        order = [(i, k) if (doc[i], f1[i]) < (doc[k], f1[k]) else (k, i) for i, k in found]
+        x, y = (np.array([o[at] for o in order], np.int64) for at in (0, 1))
+        return pd.DataFrame({"one": np.full(len(x), key[0]), "two": np.full(len(x), key[1]),
+                             "dense": np.zeros(len(x), bool), "x_doc": doc[x], "x_f1": f1[x], "x_n": n[x],
+                             "y_doc": doc[y], "y_f1": f1[y], "y_n": n[y]})
+    return run
+
+
+def near_blocks(members: DataFrame, maps: DataFrame, percent: int, dense: int) -> DataFrame:
+    """Pairs of members of larger buckets that may link, and pairs of blocks with very many of them."""
+    at = members.select("shingle", "block").distinct()
+    meet = (at.select("shingle", F.col("block").alias("one"))
+            .join(at.select("shingle", F.col("block").alias("two")), "shingle")
+            .where("one <= two").select("one", "two").distinct())
+    sets = members.select("block", "doc", "f1", "n").distinct().join(maps, ["doc", "f1"])
+    return (sets.join(_sides(meet), "block").groupBy("one", "two")
+            .applyInPandas(_block_near(percent, dense), f"one long, two long, dense boolean, {_PAIR_TYPE}"))
+
+
+def _sides(meet: DataFrame) -> DataFrame:
+    """The blocks of each pair of blocks."""
+    return (meet.select(F.col("one").alias("block"), "one", "two", F.lit(0).alias("side"))
+            .union(meet.where("one < two").select("two", "one", "two", F.lit(1))))
+
+
 def _block_counts(key: tuple, group):
     """Common shingles of every pair of one fragment of two blocks, as one matrix."""
     import pandas as pd
@@ -294,31 +386,32 @@ def _block_links(percent: int):
     return run
 
 
-def block_links(members: DataFrame, texts: DataFrame, percent: int, size: int, fragments: int,
-                order) -> DataFrame:
-    """Links among the members of larger buckets, block against block."""
-    at = members.select("shingle", "block").distinct()
-    meet = (at.select("shingle", F.col("block").alias("one"))
-            .join(at.select("shingle", F.col("block").alias("two")), "shingle")
-            .where("one <= two").select("one", "two").distinct())
-    goes = (meet.select(F.col("one").alias("block"), "one", "two", F.lit(0).alias("side"))
-            .union(meet.where("one < two").select("two", "one", "two", F.lit(1))))
-    homes = members.select(F.col("doc").alias("key"), "f1", "block").distinct()
-    sets = contents(texts.join(homes, "key"), size, fragments, order, "block")
-    return (sets.join(goes, "block").select("one", "two", "fragment", "side", "doc", "f1", "n", "keys")
+def block_links(meet: DataFrame, members: DataFrame, texts: DataFrame, percent: int, size: int,
+                fragments: int, order) -> DataFrame:
+    """Links between pairs of blocks, as a spanning forest of each."""
+    homes = members.join(_sides(meet).select("block").distinct(), "block", "left_semi") \
+        .select("doc", "f1", "block").distinct()
+    sets = contents(texts.join(homes.select(F.col("doc").alias("key"), "f1"), "key"), size, fragments, order)
+    return (sets.join(homes, ["doc", "f1"]).join(_sides(meet), "block")
+            .select("one", "two", "fragment", "side", "doc", "f1", "n", "keys")
             .groupBy("one", "two", "fragment")
             .applyInPandas(lambda key, group: _block_counts(key, group),
                            "one long, two long, counts binary, docs binary, sizes binary, sides binary")
             .groupBy("one", "two").applyInPandas(_block_links(percent), "a long, b long"))
 
 
+def _keys(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x_doc").alias("key")).union(pairs.select("y_doc"))
+
+
 def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 3,
                   percent: int = 90, fragments: int = 4, frequent: int = 1 << 17, most: int = 32,
-                  block_sets: int = 256) -> DataFrame:
+                  block_sets: int = 256, dense: int = 8) -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable by links).
 
     ``percent``: two sets link when 100 * common >= percent * union.  ``most``: buckets of more
-    sets are compared block against block rather than as rows of pairs.
+    sets are compared block against block rather than as rows of pairs.  ``dense``: blocks with more
+    possible links a set than this count all their pairs together.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
@@ -328,12 +421,16 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     found = shared.stored(buckets(texts, size, percent, order), "buckets")
     pairs = shared.stored(small_pairs(found, percent, most), "pairs")
     members = shared.stored(blocks_of(found, most, block_sets), "blocks")
-    needed = (pairs.select(F.col("x_doc").alias("key")).union(pairs.select("y_doc"))
-              .union(members.select("doc")).distinct())
+    maps = shared.stored(bitmaps(texts, _keys(pairs).union(members.select("doc")).distinct(), size), "bitmaps")
+    in_blocks = shared.stored(near_blocks(members, maps, percent, dense), "near_in_blocks")
+    near = shared.stored(near_pairs(pairs, maps, percent).union(
+        in_blocks.where("not dense").select(*_PAIR)).distinct(), "near")
+    meet = in_blocks.where("dense").select("one", "two")
+    crowded = members.join(_sides(meet).select("block").distinct(), "block", "left_semi").select("doc")
     # texts are smaller than their sets, so these travel and are stored in place of the sets
-    wanted = shared.stored(texts.join(needed, "key", "left_semi").distinct(), "texts")
+    wanted = shared.stored(texts.join(_keys(near).union(crowded).distinct(), "key", "left_semi").distinct(), "texts")
     cut = (percent, size, fragments, order)
-    links = pair_links(pairs, wanted, *cut).union(block_links(members, wanted, *cut))
+    links = pair_links(near, wanted, *cut).union(block_links(meet, members, wanted, *cut))
     reached = components(links)
 
     sets = measured.where("kind = 0").drop("kind")
