@@ -20,6 +20,7 @@ an empty table gives no row; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -164,17 +165,21 @@ def small_pairs(found: DataFrame, percent: int, most: int) -> DataFrame:
             .select("x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n").distinct())
 
 
-def blocks_of(found: DataFrame, most: int, block_sets: int) -> DataFrame:
-    """Members of the larger buckets in blocks: block, doc, f1, shingle.
+def blocks_of(found: DataFrame, most: int, block_sets: int, percent: int) -> DataFrame:
+    """Members of the larger buckets in blocks: block, band, doc, f1, n, shingle.
 
-    A set lives in the block of its smallest shared shingle; a shingle's sets are spread over as
-    many blocks as they need, so a block holds about ``block_sets`` sets however many share one.
+    A set lives in the block of its smallest shared shingle and its band of sizes; sets that link are
+    of one band or of neighbouring ones.  Such sets are spread over as many blocks as they need, so a
+    block holds about ``block_sets`` sets however many share a shingle.
     """
-    many = found.where(F.col("sharing") > most).select("shingle", "doc", "f1", "n")
-    home = many.groupBy("doc", "f1").agg(F.min("shingle").alias("home"))
-    counts = home.groupBy("home").agg(F.ceil(F.count("*") / block_sets).alias("parts"))
-    placed = home.join(counts, "home").select(
-        "doc", "f1", F.xxhash64("home", F.pmod(F.xxhash64("doc", "f1"), "parts")).alias("block"))
+    # a little wider than the threshold asks, for the rounding of logarithms
+    width = 1.000001 * math.log(100 / percent) if percent < 100 else 1e-9
+    many = found.where(F.col("sharing") > most).select(
+        "shingle", "doc", "f1", "n", F.floor(F.log("n") / width).cast("long").alias("band"))
+    home = many.groupBy("doc", "f1", "band").agg(F.min("shingle").alias("home"))
+    counts = home.groupBy("home", "band").agg(F.ceil(F.count("*") / block_sets).alias("parts"))
+    placed = home.join(counts, ["home", "band"]).select(
+        "doc", "f1", F.xxhash64("home", "band", F.pmod(F.xxhash64("doc", "f1"), "parts")).alias("block"))
     return many.join(placed, ["doc", "f1"])
 
 
@@ -317,12 +322,18 @@ def _block_near(percent: int, dense: int):
     return run
 
 
+def meetings(members: DataFrame) -> DataFrame:
+    """Pairs of blocks that share a shingle and are of one band or neighbouring ones."""
+    at = members.select("shingle", "band", "block").distinct()
+    around = at.select("shingle", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"),
+                       F.col("block").alias("two"))
+    pairs = at.withColumnRenamed("block", "one").join(around, ["shingle", "band"])
+    return pairs.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two")).distinct()
+
+
 def near_blocks(members: DataFrame, maps: DataFrame, percent: int, dense: int) -> DataFrame:
     """Pairs of members of larger buckets that may link, and pairs of blocks with very many of them."""
-    at = members.select("shingle", "block").distinct()
-    meet = (at.select("shingle", F.col("block").alias("one"))
-            .join(at.select("shingle", F.col("block").alias("two")), "shingle")
-            .where("one <= two").select("one", "two").distinct())
+    meet = meetings(members)
     sets = members.select("block", "doc", "f1", "n").distinct().join(maps, ["doc", "f1"])
     return (sets.join(_sides(meet), "block").groupBy("one", "two")
             .applyInPandas(_block_near(percent, dense), f"one long, two long, dense boolean, {_PAIR_TYPE}"))
@@ -420,7 +431,7 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     order = spark.sparkContext.broadcast(order_of(measured, frequent))  # at most `frequent` entries
     found = shared.stored(buckets(texts, size, percent, order), "buckets")
     pairs = shared.stored(small_pairs(found, percent, most), "pairs")
-    members = shared.stored(blocks_of(found, most, block_sets), "blocks")
+    members = shared.stored(blocks_of(found, most, block_sets, percent), "blocks")
     maps = shared.stored(bitmaps(texts, _keys(pairs).union(members.select("doc")).distinct(), size), "bitmaps")
     in_blocks = shared.stored(near_blocks(members, maps, percent, dense), "near_in_blocks")
     near = shared.stored(near_pairs(pairs, maps, percent).union(

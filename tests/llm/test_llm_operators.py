@@ -169,8 +169,9 @@ def brute_sets(rows, size, percent):
     return {key: (len(sets[i]), min(least[find(i)])) for i, (key, _) in enumerate(rows)}
 
 
-@pytest.mark.parametrize("size, percent, most, block_sets", [(3, 90, 32, 256), (5, 80, 2, 3), (3, 90, 2, 2)])
-def test_vertical_join_equals_brute_force(spark, awkward, size, percent, most, block_sets):
+@pytest.mark.parametrize("size, percent, most, block_sets, dense", [
+    (3, 90, 32, 256, 8), (5, 80, 2, 3, 8), (3, 90, 2, 2, 0), (5, 80, 2, 100, 0)])
+def test_vertical_join_equals_brute_force(spark, awkward, size, percent, most, block_sets, dense):
     rows = list(TEXTS.items())
     base = prose(80, 77).split()
     for k in range(40):  # near copies of one text, few shingles apart
@@ -180,7 +181,7 @@ def test_vertical_join_equals_brute_force(spark, awkward, size, percent, most, b
         rows.append((100 + k, " ".join(copy)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in vertical_join.similar_texts(
-        docs, size=size, percent=percent, most=most, block_sets=block_sets).collect()}
+        docs, size=size, percent=percent, most=most, block_sets=block_sets, dense=dense).collect()}
     assert got == brute_sets(rows, size, percent)
 
 
