@@ -1,9 +1,10 @@
 """Near-duplicate vectors by a forest of random-projection trees with spill.
 
 1. Equal vectors of one label are one class with a weight.
-2. Trees are fitted on a bounded sample: each node has a random direction and the median of the
-   sample's projections; vectors in a band around the median (``spill`` of the sample) go both
-   ways.  Depth grows with the logarithm of the table.
+2. Trees are fitted on a bounded sample: each node has a random direction and a place among the
+   sample's projections, near the median; vectors in a band around it (``spill`` of the sample) go
+   both ways.  Depth grows with the logarithm of the table.  A node in which every split would part
+   too many links, such as a group of near copies, is left whole whatever its size.
 3. Every class is routed down every tree.  Classes that share a leaf are compared in double
    precision; a leaf of more than ``block_rows`` classes is compared block against block.
    A pair that meets in several leaves counts in the smallest one only, so no list of pairs is made.
@@ -28,36 +29,97 @@ from cadastre.llm import shared
 from cadastre.llm.components import components
 
 
+#: share of links at the threshold that one split may lose; without such a split a node stays a leaf
+_MOST_LOST = 0.06
+#: directions tried at a node, and the shares of its sample below the split, the even one first
+_TRIES = 8
+_PLACES = (0.5, 0.44, 0.56, 0.38, 0.62, 0.31, 0.69, 0.25, 0.75)
+
+
 class Tree:
-    """A full binary tree of random splits: node k has children 2k+1 and 2k+2."""
-
-    def __init__(self, sample: np.ndarray, depth: int, spill: float, rng: np.random.Generator):
-        nodes = (1 << depth) - 1
-        self.depth = depth
-        self.normals = rng.standard_normal((nodes, sample.shape[1])).astype(np.float32)
-        self.low, self.high = np.zeros(nodes), np.zeros(nodes)
-        reach = {0: np.arange(len(sample))}
-        for k in range(nodes):
-            rows = reach.pop(k, np.zeros(0, np.int64))
-            if len(rows):
-                at = sample[rows] @ self.normals[k]
-                self.low[k], middle, self.high[k] = np.quantile(at, [0.5 - spill / 2, 0.5, 0.5 + spill / 2])
-                reach[2 * k + 1], reach[2 * k + 2] = rows[at < middle], rows[at >= middle]
+    """A binary tree of random splits that do not run through groups of near copies.
+
+    A split that would part too many links (of all sample rows, of those with links among the
+    sample, or of these by their number of links) is not made.  ``depth`` gives the size of the
+    leaves, that of a tree of even splits; a leaf that no split fits is larger.
+    """
+
+    def __init__(self, sample: np.ndarray, degree: np.ndarray, depth: int, spill: float, threshold: float,
+                 rng: np.random.Generator):
+        goal = len(sample) * ((1 + spill) / 2) ** depth
+        # projections of two vectors at the threshold differ by a normal deviate of this size
+        apart = math.sqrt(max(2 - 2 * threshold, 1e-12))
+        self.split, normals, low, high, children = [-1], [], [], [], []
+        open_nodes = [(0, np.arange(len(sample)))] if depth else []
+        while open_nodes:
+            node, rows = open_nodes.pop()
+            found = _best_split(sample[rows], degree[rows], spill, apart, rng) if len(rows) > goal else None
+            if found is None:
+                continue
+            normal, below, middle, above, at = found
+            self.split[node] = len(normals)
+            normals.append(normal)
+            low.append(below)
+            high.append(above)
+            children.append((len(self.split), len(self.split) + 1))
+            self.split += [-1, -1]
+            open_nodes += [(children[-1][0], rows[at < middle]), (children[-1][1], rows[at >= middle])]
+        self.split = np.array(self.split)
+        self.normals = np.array(normals, np.float32).reshape(-1, sample.shape[1])
+        self.low, self.high = np.array(low), np.array(high)
+        self.children = np.array(children, np.int64).reshape(-1, 2)
 
     def route(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) of every leaf that each vector reaches."""
         rows, nodes = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
-        for _ in range(self.depth):
-            at = np.einsum("ij,ij->i", vectors[rows], self.normals[nodes])
-            left, right = at <= self.high[nodes], at >= self.low[nodes]
+        out_rows, out_leaves = [], []
+        while len(rows):
+            split = self.split[nodes]
+            ended = split < 0
+            out_rows.append(rows[ended])
+            out_leaves.append(nodes[ended])
+            rows, split = rows[~ended], split[~ended]
+            at = np.einsum("ij,ij->i", vectors[rows], self.normals[split])
+            left, right = at <= self.high[split], at >= self.low[split]
             rows = np.concatenate([rows[left], rows[right]])
-            nodes = np.concatenate([2 * nodes[left] + 1, 2 * nodes[right] + 2])
-        return rows, nodes - ((1 << self.depth) - 1)
+            nodes = np.concatenate([self.children[split[left], 0], self.children[split[right], 1]])
+        if not out_rows:
+            return rows, nodes
+        return np.concatenate(out_rows), np.concatenate(out_leaves)
+
+
+def _best_split(sample: np.ndarray, degree: np.ndarray, spill: float, apart: float, rng: np.random.Generator):
+    """The evenest split that loses few links: normal, low, middle, high, projections; or None."""
+    normals = rng.standard_normal((_TRIES, sample.shape[1])).astype(np.float32)
+    projected = sample @ normals.T
+    some = slice(None, None, max(1, len(sample) // 512))
+    linked = degree[some]
+    for place in _PLACES:
+        bands = np.quantile(projected, [place - spill / 2, place, place + spill / 2], axis=0)
+        x = projected[some]
+        # chance that a partner at the threshold lies beyond the band, by a logistic curve
+        beyond = np.where(x < bands[0], bands[2] - x, np.where(x > bands[2], x - bands[0], np.inf))
+        lost = 1 / (1 + np.exp(np.minimum(1.702 * beyond / apart, 60)))
+        lost[np.isinf(beyond)] = 0
+        worst = lost.mean(axis=0)
+        if linked.any():
+            worst = np.maximum(worst, lost[linked > 0].mean(axis=0))
+            worst = np.maximum(worst, linked @ lost / linked.sum())
+        k = int(worst.argmin())
+        if worst[k] <= _MOST_LOST and (projected[:, k] < bands[1, k]).any():
+            return normals[k], bands[0, k], bands[1, k], bands[2, k], projected[:, k]
+    return None
 
 
-def fit(sample: np.ndarray, trees: int, depth: int, spill: float, seed: int) -> list[Tree]:
+def fit(sample: np.ndarray, trees: int, depth: int, spill: float, threshold: float, seed: int) -> list[Tree]:
     rng = np.random.default_rng(seed)
-    return [Tree(sample, depth, spill, rng) for _ in range(trees)]
+    sample = sample.astype(np.float32)
+    degree = np.zeros(len(sample), np.int64)
+    if depth:
+        for a in range(0, len(sample), 1024):
+            degree[a:a + 1024] = (sample[a:a + 1024] @ sample.T >= threshold).sum(axis=1) - 1
+        degree = np.maximum(degree, 0)
+    return [Tree(sample, degree, depth, spill, threshold, rng) for _ in range(trees)]
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
@@ -130,7 +192,9 @@ def _compare(threshold: float):
                     p, q = p[~met], q[~met]
                     np.add.at(gained, p, weight[q])
                     np.add.at(gained, q, weight[p])
-                    for x, y in zip(p.tolist(), q.tolist()):
+                    at = np.array([find(x) for x in range(len(ids))])
+                    new = at[p] != at[q]  # pairs already connected need no step
+                    for x, y in zip(p[new].tolist(), q[new].tolist()):
                         u, v = find(x), find(y)
                         if u != v:
                             root[u] = v
@@ -168,7 +232,7 @@ def near_vectors(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embe
     found = None
     for size in sizes:  # as a rule one
         own = classes.where(F.size("vector") == size)
-        compared = _leaves(own, trees, spill, leaf_rows, deepest, sample_rows, block_rows, seed) \
+        compared = _leaves(own, trees, spill, threshold, leaf_rows, deepest, sample_rows, block_rows, seed) \
             .groupBy("leaf", "one", "two").applyInArrow(_compare(threshold), "a long, gained long, b long")
         found = compared if found is None else found.union(compared)
     if found is None:
@@ -189,14 +253,14 @@ def near_vectors(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embe
         F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def _leaves(classes: DataFrame, trees: int, spill: float, leaf_rows: int, deepest: int,
+def _leaves(classes: DataFrame, trees: int, spill: float, threshold: float, leaf_rows: int, deepest: int,
             sample_rows: int, block_rows: int, seed: int) -> DataFrame:
     """Every class in each leaf it reaches, with the blocks of that leaf it is compared in."""
     n = classes.count()
     sample = classes.select("vector").orderBy(F.xxhash64("vec_id")).limit(sample_rows).toArrow()
     unit = _matrix(sample.column("vector").combine_chunks())
     depth = min(deepest, max(0, math.ceil(math.log2(max(1, n) / leaf_rows))))
-    forest = classes.sparkSession.sparkContext.broadcast(fit(unit, trees, depth, spill, seed))
+    forest = classes.sparkSession.sparkContext.broadcast(fit(unit, trees, depth, spill, threshold, seed))
     routed = shared.stored(
         classes.select("vec_id", "label", "weight", "vector").mapInArrow(
             _router(forest), "vec_id long, label long, weight long, vector array<double>, leaves array<long>"),
