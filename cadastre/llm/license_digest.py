@@ -1,6 +1,8 @@
 """Licence scan by canonical digest.
 
-A text is lower-cased, its copyright lines are taken out, equivalent spellings become one, every run
+A text is lower-cased, its copyright statements are taken out (lines, also behind a comment mark, of
+"copyright" with a sign, a year or a holder, not licence wording that is wrapped before "copyright
+notice"), equivalent spellings become one, every run
 of other characters than letters and digits becomes one space, and the SHA-256 of what is left is
 joined to the digests of known licences.  Whole texts are looked up among licence texts; each whole
 line, as a text of its own, among the usual one-line notices.
@@ -68,13 +70,30 @@ SPELLINGS = [("licence", "license"), ("licences", "licenses"), ("licenced", "lic
              ("merchantibility", "merchantability"), ("favour", "favor"), ("organisation", "organization"),
              ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders")]
 
+#: what may stand before a statement in a comment
+_MARK = r"[ \t]*(?:(?:#+|/{2,}|/?\*+|-{2,}|;+|%+|!+|<!--|\(\*|rem\b|dnl\b|\.\.)[ \t]*)?"
+#: words after "copyright" that belong to the wording of a licence and name no holder
+_WORDING = ("notices?|holders?|owners?|owned|owns|laws?|licen[cs]es?|licen[cs]ed|licensors?|statements?|disclaimers?|"
+            "permissions?|interests?|rights?|infringements?|protections?|treaty|treaties|acts?|status|doctrines?|"
+            "and|or|in|on|of|the|to|for|is|are|as|at|with|within|under|that|this|which|may|shall|will|must|"
+            "can|be|has|have|if|from|applies|applicable|any|over|restrictions?|terms|conditions|ownership|"
+            "assignments?|claims?|warranty|warranties|lines?|information|material|works?|text|years?|file|"
+            "attributions?|legends?|headers?|messages?|not|does|it|its|but|nor|then|when|where|also|"
+            "exceptions?|limitations?|subsists?|was|were|such|other|these|those|policy|issues?|free")
+_YEAR = r"(?:19|20)\d\d\b"
+#: a line that states who holds the copyright, in lower case
+_STATEMENT = (r"(^|[\r\n])" + _MARK + r"(?:(?:©|&copy;)|\(c\)(?=[^\r\n]*(?:\b" + _YEAR + r"|copyright))"
+              r"|(?:portions[ \t]+)?copyrights?[ \t:,]*(?:by[ \t]+)?(?:\(c\)|©|&copy;|<|\[|\{|" + _YEAR
+              + r"|(?!(?:" + _WORDING + r")\b)\p{L}+)"
+              r"|all rights reserved[ \t.]*(?=[\r\n]|$))[^\r\n]*")
+#: the statement of the SQL form, which takes every line that begins so
 _COPYRIGHT = r"(^|\n)[ \t]*(copyright[ \t:]|\(c\)|©|all rights reserved)[^\n]*"
 _OTHER = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
     """The text without the differences that do not make another licence."""
-    result = F.regexp_replace(F.regexp_replace(F.lower(text), _COPYRIGHT, "\n"), _OTHER, " ")
+    result = F.regexp_replace(F.regexp_replace(F.lower(text), _STATEMENT, "\n"), _OTHER, " ")
     result = F.concat(F.lit(" "), F.trim(result), F.lit(" "))
     for spelling, usual in SPELLINGS:
         result = F.replace(result, F.lit(f" {spelling} "), F.lit(f" {usual} "))
