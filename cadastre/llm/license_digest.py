@@ -14,6 +14,10 @@ empty table gives no row.
 
 from __future__ import annotations
 
+import json
+import pkgutil
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +59,106 @@ TEXTS = [(name, title + text) for name, text, titles in (
     ("BSD-3-Clause", _BSD_HEAD + _BSD_NAMES + _BSD_TAIL, ("", "BSD 3-Clause License\n\n")),
 ) for title in titles]
 
-#: licence and one-line notice
+_ISC_AND = _ISC.replace("modify, and/or distribute", "modify, and distribute")
+
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_UNLICENSE_LINK = "\n\nFor more information, please refer to <%s://unlicense.org%s>"
+
+#: file in ``licenses`` and the licence it holds; GPL and the like name no "only" or "or later" in their text
+_FILES = {"Apache-2.0": "Apache-2.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+          "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1",
+          "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "Artistic": "Artistic-1.0-Perl",
+          "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3"}
+#: what follows the terms and is often left out
+_APPENDIX = re.compile(r"\n[ \t]*(END OF TERMS AND CONDITIONS|APPENDIX:|Appendix: How to Apply|How to Apply These Terms|"
+                       r"ADDENDUM: How to use|Exhibit A - )", re.I)
+
+
+def common_texts() -> list[tuple[str, str]]:
+    """The licences of ``TEXTS`` and the longer ones, whole, and cut at each part after the terms."""
+    out = list(TEXTS) + [("ISC", title + _ISC_AND) for title in ("", "ISC License\n\n")]
+    for tail in ("", *(_UNLICENSE_LINK % (h, e) for h in ("http", "https") for e in ("", "/"))):
+        out += [("Unlicense", title + _UNLICENSE + tail) for title in ("", "The Unlicense\n\n")]
+    for file, name in _FILES.items():
+        whole = pkgutil.get_data("cadastre.llm", f"licenses/{file}.txt").decode()
+        out.append((name, whole))
+        for found in _APPENDIX.finditer(whole):
+            out += [(name, whole[:found.start()]), (name, whole[:found.end()])]
+    return out
+
+
+#: a line without one of these words is no notice
+_NOTICE_WORD = r"(?i)licen|\b(?:released|distributed|available|provided|published|shared|open.sourced|covered|governed) (?:to you )?(?:under|by|with)\b"
+#: what may stand before the name of a licence in a notice, in canonical form
+_NOTICE_HEAD = (r"^(?:spdx license identifier |license |licensed |(?:(?:this|the|all|our)(?: [\p{L}\p{N}]+){1,4} (?:is|are) )?"
+                r"(?:free software )?(?:(?:dual )?licensed|released|distributed|available|made available|provided|published|"
+                r"shared|open sourced|covered|governed)(?: to you)? (?:under|by|with) )"
+                r"(?:the )?(?:terms (?:and conditions )?of )?(?:the |an? )?")
+
+
+def license_names() -> dict[str, str]:
+    """Names of licences in canonical form, as notices write them, and the licence."""
+    out: dict[str, str] = {}
+
+    def add(name: str, *forms: str) -> None:
+        for form in forms:
+            for end in ("", " license"):
+                out.setdefault(form + end, name)
+
+    def versions(v: str) -> list[str]:
+        short = v.removesuffix(".0")
+        return [f"{lead}{x.replace('.', ' ')}" for x in dict.fromkeys((v, short)) for lead in (" version ", " ", " v", " v ")] \
+            + [x.replace(".", " ") for x in (f"v{v}", f"v{short}")]
+
+    add("MIT", "mit", "expat", "mit expat")
+    add("ISC", "isc")
+    add("0BSD", "0bsd", "zero clause bsd", "bsd zero clause", "bsd 0 clause")
+    for n, word, kind in (("2", "two", "simplified"), ("3", "three", "new")):
+        add(f"BSD-{n}-Clause", f"bsd {n} clause", f"{n} clause bsd", f"{word} clause bsd", f"bsd {word} clause",
+            f"{kind} bsd", *(["revised bsd", "modified bsd", "bsd 3 clause new"] if n == "3" else ["freebsd"]))
+    add("Unlicense", "unlicense")
+    add("CC0-1.0", "cc0", "cc0 1 0", "cc0 1 0 universal", "creative commons zero", "creative commons cc0",
+        "creative commons cc0 1 0", "creative commons zero v1 0 universal", "creative commons cc0 1 0 universal")
+    for v in versions("2.0"):
+        add("Apache-2.0", f"apache{v}", f"apache license{v}", f"apache software license{v}", f"asl{v}", f"apl{v}")
+        add("MPL-2.0", f"mozilla public license{v}", f"mpl{v}")
+    for v in versions("1.1"):
+        add("MPL-1.1", f"mozilla public license{v}", f"mpl{v}")
+    for family, named, known in (("GPL", ("general public license", "gpl"), ("1.0", "2.0", "3.0")),
+                                 ("LGPL", ("lesser general public license", "library general public license", "lgpl"),
+                                  ("2.0", "2.1", "3.0")),
+                                 ("AGPL", ("affero general public license", "agpl"), ("1.0", "3.0")),
+                                 ("GFDL", ("free documentation license", "gfdl", "fdl"), ("1.1", "1.2", "1.3"))):
+        for number in known:
+            for v in versions(number):
+                for form in named:
+                    for full in (f"{form}{v}", f"gnu {form}{v}"):
+                        add(f"{family}-{number}-only", full, f"{full} only")
+                        add(f"{family}-{number}-or-later", *(f"{full} {x}" for x in (
+                            "or later", "or any later version", "or at your option any later version",
+                            "or later version", "or newer")))
+    parts = {"by": "attribution", "nc": "noncommercial", "sa": "sharealike", "nd": "noderivatives"}
+    for kind in ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd"):
+        long = " ".join(parts[x] for x in kind.split())
+        spaced = long.replace("noncommercial", "non commercial").replace("sharealike", "share alike") \
+            .replace("noderivatives", "no derivatives")
+        for number in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            v = number.replace(".", " ")
+            for form in (f"cc {kind}", f"creative commons {kind}", f"creative commons {long}",
+                         f"creative commons {spaced}"):
+                for end in ("", " international", " unported", " generic"):
+                    add(f"CC-{kind.upper().replace(' ', '-')}-{number}", f"{form} {v}{end}", f"{form} v{v}{end}",
+                        f"{form} license {v}{end}")
+    return out
+
+
+#: licence and one-line notice, word for word; further notices are a general head and one of ``license_names``
 NOTICES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -85,7 +188,7 @@ _YEAR = r"(?:19|20)\d\d\b"
 _STATEMENT = (r"(^|[\r\n])" + _MARK + r"(?:(?:©|&copy;)|\(c\)(?=[^\r\n]*(?:\b" + _YEAR + r"|copyright))"
               r"|(?:portions[ \t]+)?copyrights?[ \t:,]*(?:by[ \t]+)?(?:\(c\)|©|&copy;|<|\[|\{|" + _YEAR
               + r"|(?!(?:" + _WORDING + r")\b)\p{L}+)"
-              r"|all rights reserved[ \t.]*(?=[\r\n]|$))[^\r\n]*")
+              r")[^\r\n]*|(^|[\r\n])" + _MARK + r"all rights reserved\b[ \t.]*")
 #: the statement of the SQL form, which takes every line that begins so
 _COPYRIGHT = r"(^|\n)[ \t]*(copyright[ \t:]|\(c\)|©|all rights reserved)[^\n]*"
 _OTHER = r"[^\p{L}\p{N}]+"
@@ -100,23 +203,41 @@ def canonical(text: Column) -> Column:
     return F.trim(result)
 
 
-def _known(spark: SparkSession, table: list[tuple[str, str]]) -> DataFrame:
-    rows = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(text).alias("text")) for name, text in table))
-    return (spark.range(1).select(F.inline(rows)).select("name", F.sha2(canonical(F.col("text")), 256).alias("known"))
-            .groupBy("known").agg(F.min("name").alias("name")))
+def _known(spark: SparkSession, table: list[tuple[str, str]], first: list[tuple[str, str]]) -> DataFrame:
+    """Digest and name of each text; those of ``first`` go before the others."""
+    rows = F.from_json(F.lit(json.dumps([{"late": late, "name": name, "text": text} for late, some in
+                                         ((0, first), (1, table)) for name, text in some])),
+                       "array<struct<late:int,name:string,text:string>>")
+    return (spark.range(1).select(F.inline(rows))
+            .select("late", "name", F.sha2(canonical(F.col("text")), 256).alias("known"))
+            .groupBy("known").agg(F.min(F.struct("late", "name"))["name"].alias("name")))
+
 
+def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
+         licenses: list[tuple[str, str]] | None = None, notices: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Per row: key, digest, license of the whole text, notices (licences of its lines, sorted).
 
-def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, digest, license of the whole text, notices (licences of its lines, sorted)."""
+    ``licenses`` and ``notices``: name and text of further licences and one-line notices; both are
+    looked up beside ``common_texts``, ``NOTICES`` and ``license_names``, and go before them.
+    """
     spark = docs.sparkSession
-    texts, lines = _known(spark, TEXTS), _known(spark, NOTICES)  # fixed tables of a few rows
-    notices = {r["known"]: r["name"] for r in lines.collect()}
-    pairs = F.map_from_entries(F.array(*(F.struct(F.lit(k), F.lit(v)) for k, v in sorted(notices.items()))))
+    # tables of a few hundred rows
+    texts = _known(spark, common_texts(), licenses or [])
+    lines = {r["known"]: r["name"] for r in _known(spark, NOTICES, notices or []).collect()}
+    pairs = F.map_from_entries(F.array(*(F.struct(F.lit(k), F.lit(v)) for k, v in sorted(lines.items()))))
+    names = F.from_json(F.lit(json.dumps(license_names())), "map<string,string>")
+    every = bool(notices)  # these need not hold one of the usual words
+
+    def notice(line: Column) -> Column:
+        rest = F.regexp_replace(line, _NOTICE_HEAD, "")
+        return F.coalesce(pairs[F.sha2(line, 256)], F.when(rest != line, names[rest]))
 
     def named(whole: Column) -> Column:
-        short = F.filter(F.split(whole, "\n"), lambda x: x.rlike("(?i)licen"))
+        short = F.split(whole, "\n")
+        if not every:
+            short = F.filter(short, lambda x: x.rlike(_NOTICE_WORD))
         return F.array_join(F.array_sort(F.array_distinct(F.filter(
-            F.transform(short, lambda x: let(F.sha2(canonical(x), 256), lambda d: pairs[d])),
+            F.transform(short, lambda x: let(canonical(x), notice)),
             lambda x: x.isNotNull()))), ",")
 
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
