@@ -1,6 +1,6 @@
 """Language of words and texts by a linear-chain conditional random field.
 
-Words are lower-cased letter runs.  A word's state scores are sums of learned weights of hashed
+Words are lower-cased letter runs, and single letters in scripts written without spaces.  A word's state scores are sums of learned weights of hashed
 features: its prefixes and suffixes (affixes), its inner n-grams, and itself (lexicon).  Learned
 transitions tie neighbours together; forward-backward gives every word's probability of each
 language.  A text's language is the one with the largest share of letters, and that share is its
@@ -17,8 +17,10 @@ an empty table gives no row; other columns of the table do not matter.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,42 +33,97 @@ from cadastre.llm.text_stats import held_out
 
 _LETTER = regex.compile(r"\p{L}")
 _SIZES = (2, 3, 4)
-#: words beyond this many bytes have no n-grams beyond it; their affixes and lexicon entry are whole
-_LONGEST = 48
+#: so many places of words are looked at together
+_PLACES = 1 << 20
+#: scripts written without spaces between words: each letter is a word, with the marks that follow it
+_UNSPACED = ((0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x19E0), (0x1A20, 0x1AB0),
+             (0x2E80, 0x2FE0), (0x3005, 0x3008), (0x3021, 0x3030), (0x3031, 0x3130), (0x31A0, 0x3200),
+             (0x3400, 0x4DC0), (0x4E00, 0xA4D0), (0xA980, 0xA9E0), (0xA9E0, 0xAA00), (0xAA60, 0xAAE0),
+             (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1AFF0, 0x1B170), (0x20000, 0x32400))
+_OUT, _SPACED, _ALONE, _MARK = range(4)
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """Kind of each character: no part of a word, part of one, a word of its own, or a mark on the one before."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for code in range(0x110000):
+        category = unicodedata.category(chr(code))[0]
+        kinds[code] = _SPACED if category == "L" else _MARK if category == "M" else _OUT
+    for a, z in _UNSPACED:
+        part = kinds[a:z]
+        part[part == _SPACED] = _ALONE
+    kinds[[0x200C, 0x200D]] = _MARK  # joiners inside words
+    return kinds
+
+
+def find_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each letter run, or letter of an unspaced script, and the first of each text."""
+    if not len(data) or data.max() < 128:
+        return words.find_words(data, offsets, words.LETTERS)
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    code = data[at].astype(np.int32)
+    for low, high, more in ((0xC0, 0xE0, 1), (0xE0, 0xF0, 2), (0xF0, 0xF8, 3)):
+        some = np.flatnonzero((data[at] >= low) & (data[at] < high))
+        value = data[at[some]].astype(np.int32) & (0x3F >> more)
+        for k in range(1, more + 1):
+            value = value << 6 | (data[np.minimum(at[some] + k, len(data) - 1)] & 0x3F)
+        code[some] = value
+    kind = _kinds()[code]
+    before = np.zeros_like(kind)
+    before[1:] = kind[:-1]
+    firsts = np.searchsorted(at, offsets[:-1])
+    before[firsts[firsts < len(at)]] = _OUT
+    # a mark goes on with what it stands on: a run of letters, or one letter; the last base decides
+    base = np.maximum.accumulate(np.where(kind != _MARK, np.arange(len(kind)), 0))
+    under = kind[np.concatenate([[0], base[:-1]])]
+    goes_on = ((kind == _MARK) & (before != _OUT)) | (
+        (kind == _SPACED) & ((before == _SPACED) | ((before == _MARK) & (under == _SPACED))))
+    starts = at[(kind != _OUT) & ~goes_on]
+    last = (kind != _OUT) & ~np.append(goes_on[1:], False)
+    ends = np.append(at[1:], len(data))[last]
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def _feature_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray,
+                   bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word, feature) of all affix, n-gram and lexicon features of the words, some places at a time."""
+    def numbered(x: np.ndarray) -> np.ndarray:
+        return (x >> np.uint64(64 - bits)).astype(np.int64)
+
+    yield np.arange(len(starts)), numbered(words.mix(hashes ^ np.uint64(0xA5)))
+    sizes = ends - starts + 2  # with a mark before and behind
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    for a in range(0, int(bounds[-1]), _PLACES):
+        z = min(a + _PLACES, int(bounds[-1]))
+        place = np.arange(a, min(z + max(_SIZES) - 1, int(bounds[-1])))
+        word = np.searchsorted(bounds, place, "right") - 1
+        inner = place - bounds[word]
+        left = sizes[word] - inner
+        symbol = words.LOWER[data[np.clip(starts[word] + inner - 1, 0, len(data) - 1)]].astype(np.uint64) + np.uint64(1)
+        symbol[inner == 0] = 300
+        symbol[left == 1] = 301
+        for size in _SIZES:
+            n = min(z - a, len(place) - size + 1)
+            if n <= 0:
+                continue
+            grams = np.zeros(n, np.uint64)
+            for k in range(size):
+                grams = grams * np.uint64(1000003) + symbol[k:n + k]
+            grams *= np.uint64(8)
+            whole = np.flatnonzero(left[:n] >= size)
+            yield word[whole], numbered(words.mix(grams[whole] + np.uint64(size)))
+            enough = sizes[word[:n]] > size
+            for tag, there in ((5, (inner[:n] == 0) & enough), (6, (left[:n] == size) & enough)):
+                there = np.flatnonzero(there)
+                yield word[there], numbered(words.mix((grams[there] + np.uint64(tag)) ^ np.uint64(size)))
 
 
 def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray,
              bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(word, feature) of all affix, n-gram and lexicon features of the words."""
-    n = len(starts)
-    sizes = ends - starts
-    cut = np.minimum(sizes, _LONGEST)
-    width = int(cut.max()) + 2 if n else 2
-    # words as rows, with a mark before and behind
-    table = np.zeros((n, width), np.uint64)
-    place = np.arange(width - 2)[None, :]
-    inside = place < cut[:, None]
-    at = np.minimum(starts[:, None] + place, max(len(data) - 1, 0))
-    table[:, 1:-1] = np.where(inside, words.LOWER[data[at]] + 1, 0)
-    rows = np.arange(n)
-    table[rows, 0] = 300
-    table[rows, cut + 1] = 301
-    owner, found = [rows], [words.mix(hashes ^ np.uint64(0xA5))]
-    for size in _SIZES:
-        if width < size:
-            continue
-        grams = np.zeros((n, width - size + 1), np.uint64)
-        for k in range(size):
-            grams = grams * np.uint64(1000003) + table[:, k:width - size + 1 + k]
-        there = np.arange(width - size + 1)[None, :] + size <= cut[:, None] + 2
-        r, c = np.nonzero(there)
-        owner.append(r)
-        found.append(words.mix(grams[r, c] * np.uint64(8) + np.uint64(size)))
-        enough = np.flatnonzero(cut + 1 >= size)
-        for tag, column in ((5, np.zeros(len(enough), np.int64)), (6, cut[enough] + 2 - size)):
-            owner.append(enough)
-            found.append(words.mix((grams[enough, column] * np.uint64(8) + np.uint64(tag)) ^ np.uint64(size)))
-    return np.concatenate(owner), (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
+    parts = list(_feature_parts(data, starts, ends, hashes, bits))
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 @dataclass
@@ -83,9 +140,9 @@ class Field:
         out = np.zeros((len(first), len(self.languages)))
         for a in range(0, len(first), 50_000):
             some = first[a:a + 50_000]
-            owner, feature = features(data, starts[some], ends[some], hashes[some], self.bits)
-            for label in range(len(self.languages)):
-                out[a:a + len(some), label] = np.bincount(owner, self.weights[feature, label], len(some))
+            for owner, feature in _feature_parts(data, starts[some], ends[some], hashes[some], self.bits):
+                for label in range(len(self.languages)):
+                    out[a:a + len(some), label] += np.bincount(owner, self.weights[feature, label], len(some))
         return out[back]
 
     def marginals(self, states: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -160,7 +217,7 @@ def fit(texts: pa.Array, labels: list[str], *, bits: int = 16, sequences: int =
     """Maximise the conditional likelihood of spliced sequences by AdaGrad."""
     languages = sorted(set(labels))
     data, offsets = words.text_bytes(texts)
-    starts, ends, firsts = words.find_words(data, offsets, words.LETTERS)
+    starts, ends, firsts = find_units(data, offsets)
     field = Field(languages, np.zeros((1 << bits, len(languages))), np.zeros((len(languages),) * 2), bits)
     if not len(starts):
         return Field([], field.weights[:, :0], field.moves[:0, :0], bits)
@@ -209,7 +266,7 @@ def learn_from(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang
 def _labelled(block: pa.RecordBatch, field: Field):
     """Words of a block, their marginals, and the first word of each text."""
     data, offsets = words.text_bytes(block.column("text"))
-    starts, ends, firsts = words.find_words(data, offsets, words.LETTERS)
+    starts, ends, firsts = find_units(data, offsets)
     hashes = words.hash_words(data, starts, ends)
     return starts, ends, firsts, offsets, field.marginals(field.states(data, starts, ends, hashes), firsts)
 
