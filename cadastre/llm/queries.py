@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cadastre.llm import (bm25_packing, crf_language, decision_list, direct_codes, factorization,
-                          license_digest, rule_ensemble, shared, tree_forest, two_tier_bpe, vertical_join)
+                          license_digest, role_repair, rule_ensemble, shared, target_draw, tree_forest,
+                          two_tier_bpe, url_filter, vertical_join)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +91,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_license_digest", license_digest.oracle_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digest.scan(read(spark, sf_dir, "documents"))
+
+
+@query("op11_target_draw")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_draw.draw(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op12_role_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.damage_and_mend(read(spark, sf_dir, "conversations"))
+
+
+@query("op13_url_filter", url_filter.oracle_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
