@@ -2,9 +2,9 @@
 
 1. Every text becomes its set of distinct ``size``-word shingles (63-bit hashes); texts of equal
    sets are one class, found by count and a 128-bit sum of the set.
-2. A global order of shingles: rare ones by hash, then the most frequent ones by ascending count.
-   Counts are taken over all texts; the order only has to be the same everywhere, so the list of
-   frequent shingles may be cut at ``frequent`` entries without touching the result.
+2. A global order of shingles, the rare ones first: by the number of all shingles of all texts that
+   fall on the same one of ``PLACES`` places of a table, in half powers of two, then by hash.  Every
+   shingle is counted; the table has one size however long the corpus is.
 3. Sets above the threshold share one of the first shingles of both (prefix); buckets of equal
    prefix shingles give candidate pairs, filtered by sizes and by the places of the shingle, then
    by parity bitmaps: one bit per shingle or so; sets differ in at least as many shingles as their
@@ -32,7 +32,12 @@ from pyspark.sql import functions as F
 from cadastre.llm import shared, words
 from cadastre.llm.components import components
 
-_TOP = np.uint64(1 << 62)
+#: places of the table of counts, and the parts it travels in
+PLACES, _PARTS = 1 << 22, 1 << 10
+#: an order key holds the class of the count above so many bits of the hash
+_HASH_BITS = 56
+#: from this class on a bucket may hold more than 65,536 sets
+_CROWDED = 32
 _PAIR = ["x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n"]
 _PAIR_TYPE = ", ".join(f"{c} long" for c in _PAIR)
 
@@ -62,43 +67,54 @@ def _prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _places(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(PLACES - 1)).astype(np.int64)
+
+
 def _measure(size: int):
-    """Rows of kind 0: a text's set (key, n, two sums); kind 1: a shingle and its texts in a block."""
+    """A text's set (key, n, two sums); at the end of a task the counts of all places, a part a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, total = "key n f1 f2 part counts", np.zeros(PLACES, np.uint32)
         for block in shared.blocks(batches, "text", 8 << 20):
             sets = list(_sets(block, size))
             n = np.array([len(s) for s in sets], np.int64)
             one = [int(words.mix(s).sum()) if len(s) else 0 for s in sets]
             two = [int(words.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum()) if len(s) else 0 for s in sets]
-            yield _batch("kind n key f1 f2", np.zeros(len(sets), np.int64), n, block.column("key"),
-                         _signed(np.array(one, np.uint64)), _signed(np.array(two, np.uint64)))
-            together = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            together.sort()
-            first = np.flatnonzero(np.concatenate([[True], together[1:] != together[:-1]])) \
-                if len(together) else np.zeros(0, np.int64)
-            count = np.diff(np.append(first, len(together)))
-            often = count >= 3
-            if often.any():
-                zero = np.zeros(int(often.sum()), np.int64)
-                yield _batch("kind n key f1 f2", zero + 1, count[often],
-                             _signed(together[first[often]]), zero, zero)
+            yield _batch(names, block.column("key"), n, _signed(np.array(one, np.uint64)),
+                         _signed(np.array(two, np.uint64)), pa.nulls(len(sets), pa.int64()),
+                         pa.nulls(len(sets), pa.binary()))
+            if n.any():
+                total += np.bincount(_places(np.concatenate(sets)), minlength=PLACES).astype(np.uint32)
+        parts = total.reshape(_PARTS, -1)
+        used = np.flatnonzero(parts.any(axis=1))
+        if len(used):
+            none = pa.nulls(len(used), pa.int64())
+            yield _batch(names, none, none, none, none, used,
+                         pa.array([zlib.compress(parts[k].tobytes(), 1) for k in used], pa.binary()))
     return run
 
 
+def _add_counts(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes of the counts of one part, which are summed as they stream in."""
+    total = np.zeros(PLACES // _PARTS, np.uint64)
+    for batch in batches:
+        for counts in batch.column("counts").to_pylist():
+            total += np.frombuffer(zlib.decompress(counts), np.uint32)
+    classes = np.minimum(2 * np.log2(np.maximum(total, 1)), 62).astype(np.uint8)
+    yield _batch("part classes mass", [key[0].as_py()], pa.array([classes.tobytes()], pa.binary()),
+                 pa.array([np.bincount(classes, total.astype(np.float64), 64).tolist()], pa.list_(pa.float64())))
+
+
 def _batch(names: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names.split())
 
 
-def _ordered(own: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Order keys of a set's shingles, ascending: a rare one's hash, a frequent one's rank."""
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
-        common = frequent[at] == own
-        if common.any():
-            own = np.where(common, _TOP | rank[at], own)
-            own.sort()
-    return own
+def _ordered(own: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Order keys of a set's shingles, ascending: the class of its count, then its hash."""
+    keys = (classes[_places(own)].astype(np.uint64) << np.uint64(_HASH_BITS)) | (own >> np.uint64(62 - _HASH_BITS))
+    keys.sort()
+    return keys
 
 
 def _prefixes(size: int, percent: int, order):
@@ -107,7 +123,7 @@ def _prefixes(size: int, percent: int, order):
     Copies within a block are one set already.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, rank = order.value
+        classes, _ = order.value
         for block in shared.blocks(batches, "text", 8 << 20):
             seen: dict[tuple, tuple] = {}
             for key, own in zip(block.column("key").to_pylist(), _sets(block, size)):
@@ -119,7 +135,7 @@ def _prefixes(size: int, percent: int, order):
                     seen[f1, len(own)] = front, min(doc, key)
                     continue
                 m = _prefix_length(len(own), percent)
-                seen[f1, len(own)] = _ordered(own, frequent, rank)[:m].copy(), key
+                seen[f1, len(own)] = _ordered(own, classes)[:m].copy(), key
             if seen:
                 sizes = [len(front) for front, _ in seen.values()]
                 yield _batch(
@@ -131,23 +147,42 @@ def _prefixes(size: int, percent: int, order):
     return run
 
 
-def order_of(measured: DataFrame, frequent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, sorted by hash, and their ranks by ascending count."""
-    rows = (measured.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "key").limit(frequent).select("key").toPandas())
-    hashes = rows["key"].to_numpy(np.int64).astype(np.uint64)
-    rank = np.arange(len(hashes), dtype=np.uint64)[::-1]
-    by_hash = np.argsort(hashes)
-    return hashes[by_hash], rank[by_hash]
+def order_of(measured: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each place (one byte each, ``PLACES`` in all), and how many shingles each class has."""
+    rows = (measured.where("part is not null").groupBy("part")
+            .applyInArrow(_add_counts, "part long, classes binary, mass array<double>").collect())
+    classes, mass = np.zeros((_PARTS, PLACES // _PARTS), np.uint8), np.zeros(64)
+    for row in rows:
+        classes[row["part"]] = np.frombuffer(row["classes"], np.uint8)
+        mass += row["mass"]
+    return classes.reshape(-1), mass
 
 
-def buckets(texts: DataFrame, size: int, percent: int, order) -> DataFrame:
-    """Sets that share a prefix shingle: shingle, doc, f1, n, at (its place), sharing (sets there)."""
-    rows = texts.mapInArrow(_prefixes(size, percent, order), "shingle long, f1 long, place long, doc long")
-    sets = (rows.repartition("shingle").groupBy("shingle", "f1")
-            .agg(F.min("doc").alias("doc"), F.first("place").alias("place")))
-    return (sets.withColumn("sharing", F.count("*").over(Window.partitionBy("shingle")))
-            .where("sharing > 1")
+def cuts_of(mass: np.ndarray, fragments: int) -> np.ndarray:
+    """Order keys that cut the global order into fragments of about as many shingles."""
+    above = np.concatenate([[0.0], np.cumsum(mass)])
+    out = []
+    for k in range(1, fragments):
+        wanted = above[-1] * k / fragments
+        at = min(max(int(np.searchsorted(above, wanted, "right")) - 1, 0), 62)
+        share = (wanted - above[at]) / mass[at] if mass[at] else 0.0
+        out.append((at << _HASH_BITS) + int(share * (1 << _HASH_BITS)))
+    return np.array(out, np.uint64)
+
+
+def buckets(prefixes: DataFrame) -> DataFrame:
+    """Sets that share a prefix shingle: shingle, doc, f1, n, at (its place), sharing (sets there).
+
+    A shingle of a low class is counted where its bucket is made, which is small.  The others may hold
+    any number of sets: those are combined before the shuffle, and counted apart from their rows.
+    """
+    crowded = F.shiftright("shingle", _HASH_BITS) >= _CROWDED
+    one = [F.min("doc").alias("doc"), F.first("place").alias("place")]
+    small = (prefixes.where(~crowded).repartition("shingle").groupBy("shingle", "f1").agg(*one)
+             .withColumn("sharing", F.count("*").over(Window.partitionBy("shingle"))).where("sharing > 1"))
+    large = prefixes.where(crowded).groupBy("shingle", "f1").agg(*one)
+    counts = large.groupBy("shingle").agg(F.count("*").alias("sharing")).where("sharing > 1")
+    return (small.union(large.join(counts, "shingle"))
             .select("shingle", "doc", "f1", F.shiftright("place", 32).alias("n"),
                     F.col("place").bitwiseAND((1 << 32) - 1).alias("at"), "sharing"))
 
@@ -238,16 +273,14 @@ def near_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
 def contents(texts: DataFrame, size: int, fragments: int, order) -> DataFrame:
     """Order keys of each text's set by fragment of the global order: doc, f1, fragment, n, keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, rank = order.value
-        # the last fragment is that of the frequent shingles
-        cuts = np.array([int(_TOP) // (fragments - 1) * k for k in range(1, fragments - 1)] + [int(_TOP)],
-                        np.uint64)
+        classes, mass = order.value
+        cuts = cuts_of(mass, fragments)
         for block in shared.blocks(batches, "text", 8 << 20):
             out: list[tuple] = []
             for doc, f1, own in zip(block.column("key").to_pylist(), block.column("f1").to_pylist(),
                                     _sets(block, size)):
                 if len(own) and int(words.mix(own).sum().view(np.int64)) == f1:
-                    parts = np.split(ordered := _ordered(own, frequent, rank),
+                    parts = np.split(ordered := _ordered(own, classes),
                                      np.searchsorted(ordered, cuts))
                     out += [(doc, f1, k, len(own), part.tobytes()) for k, part in enumerate(parts)]
             if out:
@@ -416,7 +449,7 @@ def _keys(pairs: DataFrame) -> DataFrame:
 
 
 def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 3,
-                  percent: int = 90, fragments: int = 4, frequent: int = 1 << 17, most: int = 32,
+                  percent: int = 90, fragments: int = 4, most: int = 32,
                   block_sets: int = 256, dense: int = 8) -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable by links).
 
@@ -427,9 +460,11 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     measured = shared.stored(
-        texts.mapInArrow(_measure(size), "kind long, n long, key long, f1 long, f2 long"), "sets")
-    order = spark.sparkContext.broadcast(order_of(measured, frequent))  # at most `frequent` entries
-    found = shared.stored(buckets(texts, size, percent, order), "buckets")
+        texts.mapInArrow(_measure(size), "key long, n long, f1 long, f2 long, part long, counts binary"), "sets")
+    order = spark.sparkContext.broadcast(order_of(measured))  # PLACES bytes
+    prefixes = shared.stored(texts.mapInArrow(
+        _prefixes(size, percent, order), "shingle long, f1 long, place long, doc long"), "prefixes")
+    found = shared.stored(buckets(prefixes), "buckets")
     pairs = shared.stored(small_pairs(found, percent, most), "pairs")
     members = shared.stored(blocks_of(found, most, block_sets, percent), "blocks")
     maps = shared.stored(bitmaps(texts, _keys(pairs).union(members.select("doc")).distinct(), size), "bitmaps")
@@ -444,7 +479,7 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     links = pair_links(near, wanted, *cut).union(block_links(meet, members, wanted, *cut))
     reached = components(links)
 
-    sets = measured.where("kind = 0").drop("kind")
+    sets = measured.where("part is null").drop("part", "counts")
     classes = (sets.where("n > 0 and key is not null").groupBy("n", "f1", "f2").agg(F.min("key").alias("first"))
                .join(reached, F.col("first") == F.col("node"), "left")
                .select("n", "f1", "f2", F.coalesce("component", "first").alias("component")))
