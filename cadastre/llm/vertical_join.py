@@ -5,9 +5,9 @@
 2. A global order of shingles, the rare ones first: by the number of all shingles of all texts that
    fall on the same one of ``PLACES`` places of a table, in half powers of two, then by hash.  Every
    shingle is counted; the table has one size however long the corpus is.
-3. Sets above the threshold share one of the first shingles of both (prefix); buckets of equal
-   prefix shingles give candidate pairs, filtered by sizes and by the places of the shingle, then
-   by parity bitmaps: one bit per shingle or so; sets differ in at least as many shingles as their
+3. Sets above the threshold share ``least`` of the first shingles of both (a prefix as much longer;
+   small sets share what they must); buckets of equal prefix shingles give candidate pairs, filtered
+   by sizes, by the places of the shingles and by their number, then by parity bitmaps: one bit per shingle or so; sets differ in at least as many shingles as their
    bitmaps in bits, so no link is lost and whole sets travel for few other pairs.
 4. The order is cut into ``fragments``.  Each fragment of each candidate pair is intersected on
    its own, and the partial counts are summed per pair.
@@ -62,9 +62,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def _prefix_length(n: int, percent: int) -> int:
-    """Shingles of which a partner must share at least one: all but ceil(t n), and one more."""
-    return n - -(-percent * n // 100) + 1
+def _prefix_length(n: int, percent: int, least: int) -> int:
+    """Shingles of which a partner must share at least ``least``, or ceil(t n) if that is less."""
+    must = -(-percent * n // 100)
+    return n - must + min(least, must)
 
 
 def _places(shingles: np.ndarray) -> np.ndarray:
@@ -117,7 +118,7 @@ def _ordered(own: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _prefixes(size: int, percent: int, order):
+def _prefixes(size: int, percent: int, least: int, order):
     """The prefix shingles of each set: order key, half the set's sum, n and place, text key.
 
     Copies within a block are one set already.
@@ -134,7 +135,7 @@ def _prefixes(size: int, percent: int, order):
                     front, doc = seen[f1, len(own)]
                     seen[f1, len(own)] = front, min(doc, key)
                     continue
-                m = _prefix_length(len(own), percent)
+                m = _prefix_length(len(own), percent, least)
                 seen[f1, len(own)] = _ordered(own, classes)[:m].copy(), key
             if seen:
                 sizes = [len(front) for front, _ in seen.values()]
@@ -187,17 +188,33 @@ def buckets(prefixes: DataFrame) -> DataFrame:
                     F.col("place").bitwiseAND((1 << 32) - 1).alias("at"), "sharing"))
 
 
-def small_pairs(found: DataFrame, percent: int, most: int) -> DataFrame:
-    """Candidate pairs of the buckets of at most ``most`` sets."""
+#: sets that may be broadcast (16 bytes each)
+_BROADCAST_SETS = 500_000
+
+
+def small_pairs(found: DataFrame, percent: int, most: int, least: int) -> DataFrame:
+    """Candidate pairs of the buckets of at most ``most`` sets.
+
+    Shingles that a pair shares in larger buckets are not counted here, so pairs of sets that are both in
+    such buckets need no more than one.
+    """
+    crowd = shared.stored(found.where(F.col("sharing") > most).select("doc", "f1").distinct(), "crowd")
+    if crowd.count() <= _BROADCAST_SETS:
+        crowd = F.broadcast(crowd)
     few = found.where(F.col("sharing") <= most).drop("sharing")
     x = few.select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("doc", "f1", "n", "at")))
     y = few.select("shingle", *(F.col(c).alias(f"y_{c}") for c in ("doc", "f1", "n", "at")))
-    return (x.join(y, "shingle")
-            .where("(x_doc, x_f1) < (y_doc, y_f1)")
-            .where(f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
-            # before its first common shingle a pair shares nothing
-            .where(f"{100 + percent} * least(x_n - x_at, y_n - y_at) >= {percent} * (x_n + y_n)")
-            .select("x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n").distinct())
+    pairs = (x.join(y, "shingle")
+             .where("(x_doc, x_f1) < (y_doc, y_f1)")
+             .where(f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
+             # before the first ``least`` common shingles a pair shares fewer than so many
+             .where(f"{100 + percent} * (least(x_n - x_at, y_n - y_at) + {least - 1}) >= {percent} * (x_n + y_n)")
+             .groupBy(*_PAIR).agg(F.count("*").alias("common")))
+    for side in "xy":
+        pairs = pairs.join(crowd.select(F.col("doc").alias(f"{side}_doc"), F.col("f1").alias(f"{side}_f1"),
+                                        F.lit(True).alias(f"{side}_crowd")), [f"{side}_doc", f"{side}_f1"], "left")
+    return pairs.where(f"common >= least({least}, ceil({percent} * least(x_n, y_n) / 100.0D)) "
+                       "or (x_crowd and y_crowd)").select(*_PAIR)
 
 
 def blocks_of(found: DataFrame, most: int, block_sets: int, percent: int) -> DataFrame:
@@ -449,11 +466,12 @@ def _keys(pairs: DataFrame) -> DataFrame:
 
 
 def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 3,
-                  percent: int = 90, fragments: int = 4, most: int = 32,
+                  percent: int = 90, fragments: int = 4, least: int = 4, most: int = 32,
                   block_sets: int = 256, dense: int = 8) -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable by links).
 
-    ``percent``: two sets link when 100 * common >= percent * union.  ``most``: buckets of more
+    ``percent``: two sets link when 100 * common >= percent * union.  ``least``: shingles that candidates
+    must share in their prefixes.  ``most``: buckets of more
     sets are compared block against block rather than as rows of pairs.  ``dense``: blocks with more
     possible links a set than this count all their pairs together.
     """
@@ -463,9 +481,9 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
         texts.mapInArrow(_measure(size), "key long, n long, f1 long, f2 long, part long, counts binary"), "sets")
     order = spark.sparkContext.broadcast(order_of(measured))  # PLACES bytes
     prefixes = shared.stored(texts.mapInArrow(
-        _prefixes(size, percent, order), "shingle long, f1 long, place long, doc long"), "prefixes")
+        _prefixes(size, percent, least, order), "shingle long, f1 long, place long, doc long"), "prefixes")
     found = shared.stored(buckets(prefixes), "buckets")
-    pairs = shared.stored(small_pairs(found, percent, most), "pairs")
+    pairs = shared.stored(small_pairs(found, percent, most, least), "pairs")
     members = shared.stored(blocks_of(found, most, block_sets, percent), "blocks")
     maps = shared.stored(bitmaps(texts, _keys(pairs).union(members.select("doc")).distinct(), size), "bitmaps")
     in_blocks = shared.stored(near_blocks(members, maps, percent, dense), "near_in_blocks")
