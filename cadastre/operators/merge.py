@@ -35,9 +35,13 @@ def _all_present(keys: Sequence[str]) -> Column:
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows without a match in the target; NULL keys never match.
 
-    The distinct stored keys are looked up, so the source is evaluated once.
+    Of the stored keys only those that the source has are made distinct and looked up, so a batch that
+    can be broadcast leaves the stored table unshuffled.  The source is read twice: store it first
+    where it is costly to compute, as the loads do.
     """
-    return source.join(_distinct_keys(target, keys), list(keys), "left_anti")
+    wanted = source.where(_all_present(keys)).select(*keys)
+    known = target.select(*keys).join(wanted, list(keys), "left_semi")
+    return source.join(_distinct_keys(known, keys), list(keys), "left_anti")
 
 
 def missing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,6 +123,40 @@ def classify_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     return counted.select(*keys, "source_rows", "target_rows", action.alias("action"))
 
 
+def compare_digests(source: DataFrame, target: DataFrame, keys: Sequence[str], unit: str,
+                    digest: str) -> DataFrame:
+    """Per unit: rows inserted, updated (changed or not) and deleted, whether it must be rewritten, and
+    whether the source repeats a stored key.
+
+    Only keys and digests are read.  Both sides are stacked and grouped by key: one shuffle of
+    pre-aggregated rows.  A row that moved touches both units, but counts once, as updated.  NULL keys
+    match nothing.
+    """
+    def side(rows: DataFrame, s: int) -> DataFrame:
+        return rows.select(*keys, unit, digest, F.lit(s).alias("s"), F.lit(1 - s).alias("t"))
+
+    tagged = side(source, 1).unionByName(side(target, 0))
+    matchable = _all_present(keys)
+    grouped = tagged.groupBy(*keys, F.when(matchable, F.lit(0)).otherwise(F.col("s")).alias("__side")).agg(
+        F.sum("s").alias("s"), F.sum("t").alias("t"),
+        *[F.collect_set(F.when(F.col(c) == 1, F.col(unit))).alias(f"__{c}_unit") for c in ("s", "t")],
+        F.min(digest).alias("__low"), F.max(digest).alias("__high"), F.count(digest).alias("__n"))
+    both = (F.col("s") > 0) & (F.col("t") > 0)
+    same = (both & (F.col("s") == 1) & (F.col("t") == 1) & (F.col("__n") == 2)
+            & (F.col("__low") == F.col("__high")) & (F.col("__s_unit") == F.col("__t_unit")))
+    named = grouped.select(
+        F.explode(F.array_union("__s_unit", "__t_unit")).alias("unit"), "s", "t", "__s_unit", "__t_unit",
+        both.alias("both"), same.alias("same"), (both & (F.col("s") > 1)).alias("repeated"))
+    # a key counts in one of the units it is in
+    counted = F.col("unit") == F.coalesce(F.array_min("__s_unit"), F.array_min("__t_unit"))
+    return named.groupBy("unit").agg(
+        F.sum(F.when(counted & ~F.col("both"), F.col("s")).otherwise(0)).alias("inserted"),
+        F.sum(F.when(counted & F.col("both"), F.col("s")).otherwise(0)).alias("updated"),
+        F.sum(F.when(counted, F.col("t") - F.when(F.col("both"), F.col("s")).otherwise(0)).otherwise(0))
+        .alias("deleted"),
+        F.max(~F.col("same")).alias("touched"), F.max("repeated").alias("repeated"))
+
+
 def action_counts(result: DataFrame) -> DataFrame:
     """Inserted, updated and affected rows of a load result in one row."""
     inserted = F.count_if(F.col(ACTION) == "insert")

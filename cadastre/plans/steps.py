@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cadastre.contracts import FEATURES_CONTRACT, TEST_CONTRACT, TRAIN_CONTRACT
-from cadastre.operators import merge
 from cadastre.operators.clean import clean_transactions
 from cadastre.operators.contracts import Contract, validate_all
 from cadastre.operators.features import MINIMUM_PRICE, TRAIN_PERCENT, build_features, split_rows
@@ -24,7 +23,7 @@ from cadastre.operators.profile import raw_counts
 from cadastre.schemas import FEATURE_SET_AT
 from cadastre.sinks.audit import record_run
 from cadastre.sinks.catalog import Warehouse, full_name
-from cadastre.sinks.loading import key_list, require_values, run_load
+from cadastre.sinks.loading import Load, Prepared, key_list, prepare_sync, require_values, run_load
 from cadastre.sources import files
 from cadastre.sources.control import SourceParameters, consumption_tables, source_parameters
 from cadastre.sources.csv import count_lines, read_csv
@@ -218,27 +217,24 @@ def run_consumption(workspace: Workspace, name: str) -> int:
             build_features(rows, workspace.train_percent, workspace.price_minimum),
             ["propiedad_id"])
         stamps = {FEATURE_SET_AT: F.lit(now.isoformat()).cast("timestamp")}
-        synced = merge.sync_load(source, warehouse.table(tables["FEATURES"]), ["propiedad_id"],
-                                 stamps)
-        written = Observation()
-        observed = synced.observe(written, F.count(F.lit(1)).alias("n")).drop(merge.ACTION)
-        order = list(STAGING_ORDER)
-        folders = {"FEATURES": warehouse.write_version(tables["FEATURES"], observed, order)}
-        counts.inserted = written.get["n"]
+        def prepare(role: str, rows: DataFrame, defaults: dict) -> Prepared:
+            return prepare_sync(Load(warehouse, tables[role], rows, ("propiedad_id",), defaults, STAGING_ORDER))
+
+        loads = {"FEATURES": prepare("FEATURES", source, stamps)}
+        counts.inserted = loads["FEATURES"].result.inserted + loads["FEATURES"].result.updated
         # both splits read the files just written: the features are computed once
-        features = warehouse.version(tables["FEATURES"], folders["FEATURES"])
+        features = loads["FEATURES"].rows(warehouse)
         for role, label in (("TRAIN", "train"), ("TEST", "test")):
-            folders[role] = warehouse.write_version(tables[role], split_rows(features, label), order)
+            loads[role] = prepare(role, split_rows(features, label), {})
 
         def judge() -> None:
             validate_all(
-                [((lambda r=r: warehouse.version(tables[r], folders[r])), c)
-                 for r, c in workspace.contracts.items()], now)
+                [((lambda r=r: loads[r].rows(warehouse)), c) for r, c in workspace.contracts.items()], now)
 
         if workspace.publish == "before":
             judge()
-        for role in ("FEATURES", "TRAIN", "TEST"):
-            warehouse.publish(tables[role], folders[role])
+        for load in loads.values():
+            load.publish(warehouse)
         if workspace.publish != "before":
             judge()
 

@@ -26,6 +26,8 @@ class TableSpec:
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
     comment: str = ""
+    # ``key,key:count`` for buckets of keys, ``column:0`` for months; see sinks.units
+    unit: str = ""
 
     @property
     def column_names(self) -> list[str]:
@@ -101,16 +103,16 @@ RAW_AUCTIONS = TableSpec(
 
 STAGING_TRANSACTIONS = TableSpec(
     "staging.transactions", STAGING_COLUMNS + ((LOADED_AT, "timestamp"),),
-    {LOADED_AT: NOW_DEFAULT}, required=("id",), sort_by=("fecha", "ciudad", "tipo"))
+    {LOADED_AT: NOW_DEFAULT}, required=("id",), sort_by=("fecha", "ciudad", "tipo"), unit="id:64")
 
 FEATURES = TableSpec(
     "consumption.features", FEATURE_COLUMNS + ((FEATURE_SET_AT, "timestamp"),),
     {FEATURE_SET_AT: NOW_DEFAULT}, required=("propiedad_id",),
-    sort_by=("fecha", "ciudad", "tipo"))
+    sort_by=("fecha", "ciudad", "tipo"), unit="fecha:0")
 TRAIN = TableSpec("consumption.train", SPLIT_COLUMNS, required=("propiedad_id",),
-                  sort_by=("fecha", "ciudad", "tipo"))
+                  sort_by=("fecha", "ciudad", "tipo"), unit="fecha:0")
 TEST = TableSpec("consumption.test", SPLIT_COLUMNS, required=("propiedad_id",),
-                 sort_by=("fecha", "ciudad", "tipo"))
+                 sort_by=("fecha", "ciudad", "tipo"), unit="fecha:0")
 
 INGEST_PARAMETERS = TableSpec(
     "config.ingest_parameters",

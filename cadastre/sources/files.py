@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import time
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,26 @@ def find(spark: SparkSession, folder: str, name: str) -> str:
     return path
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    filesystem, target = _filesystem(spark, folder)
+    filesystem.mkdirs(target)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    filesystem, target = _filesystem(spark, folder)
+    filesystem.delete(target, True)
+
+
+def old_folders(spark: SparkSession, folder: str, hours: float) -> list[str]:
+    """Folders directly below ``folder`` that were last changed so many hours ago or earlier."""
+    filesystem, target = _filesystem(spark, folder)
+    if not filesystem.exists(target):
+        return []
+    before = (time.time() - hours * 3600) * 1000
+    return sorted(f.getPath().toString() for f in filesystem.listStatus(target)
+                  if f.isDirectory() and f.getModificationTime() <= before)
+
+
 def move(spark: SparkSession, path: str, folder: str) -> str:
     """Rename a file into another folder of the same store, replacing an older copy."""
     filesystem, source = _filesystem(spark, path)

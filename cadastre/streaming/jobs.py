@@ -1,12 +1,14 @@
 """Micro-batch jobs over arriving files.
 
 Every job may replay a batch after a failure.  Appends therefore overwrite
-the partition of their batch number, and the upsert is repeatable by nature:
-loading the same rows twice leaves the same table.
+the partition of their batch number.  The upsert is repeatable by nature, and
+the buckets that a stopped batch had switched already carry its number in
+their location: a replay leaves them alone and does the others.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
@@ -75,16 +77,25 @@ def upsert(stream: DataFrame, warehouse: Warehouse, table: str, checkpoint: str,
            keys: Sequence[str] = ("id",),
            cleaner: Callable[[DataFrame], DataFrame] = clean_transactions,
            continuous: bool = False) -> StreamingQuery:
-    """Clean each batch, keep one row per key and merge it into the staging table."""
+    """Clean each batch, keep one row per key and merge it into the staging table.
+
+    A batch reads and writes the buckets of its keys only.
+    """
     def body(rows: DataFrame, batch: int, tables: Warehouse) -> None:
         if LOADED_AT not in rows.columns:
             rows = rows.withColumn(LOADED_AT, F.current_timestamp())
         run_load(tables, table, cleaner(rows), "UPSERT", list(keys),
-                 required=list(keys), unique_source=True)
+                 required=list(keys), unique_source=True, token=f"{name}-{batch}")
 
+    name = ledger_name(checkpoint)
     return _start(stream, warehouse, checkpoint, body, continuous)
 
 
+def ledger_name(checkpoint: str) -> str:
+    """Name of the stream that owns a checkpoint, the same in every run of it."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def check(stream: DataFrame, rules: Sequence[FieldRule], warehouse: Warehouse, valid: str,
           quarantine: str, checkpoint: str, continuous: bool = False) -> StreamingQuery:
     """Route each row to the valid or the quarantine table by the row rules."""
