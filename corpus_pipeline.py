@@ -4,9 +4,11 @@ Toxic documents go, then those of low quality, then all but one of each group of
 what is left is packed.  Each stage is written as Parquet in the shared folder and read again.
 
 Edge cases: null and empty texts are scored like any other text (as the operators state), link
-with nothing and are packed as an end id; a null doc_id passes the filters and is packed; rows
-of one doc_id are each judged by their own text; empty tables give no row; columns that documents
-has beyond doc_id and text are carried along whatever their names.
+with nothing and are packed as an end id; rows of one doc_id, or of none, are each judged by their
+own text, and of a group of copies the row of smallest doc_id stays (null ids last; of several rows of
+that id the first in the table), so of equal rows one stays unless their text has no word; empty
+tables give no row; columns that documents has beyond doc_id and text are carried along whatever their
+names.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from cadastre.llm import bm25_packing, factorization, rule_ensemble, shared, text_stats, vertical_join
 from cadastre.llm.queries import WORD_VOCABULARY, WORD_VOCABULARY_SIZE, read
 
-ROW, SCORE = "_document_row", "_score"
+ROW, SCORE, NUMBER = "_document_row", "_score", "_document_number"
 
 
 def _rows_where(scored: DataFrame, condition: Column) -> DataFrame:
@@ -45,11 +47,20 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of each group linked by five-word shingles, Jaccard 0.8 or more."""
+    """Keep one row of each group linked by five-word shingles, Jaccard 0.8 or more.
+
+    Ids may repeat or be null, so links run between numbers of rows, which are stored with them: a task
+    that is run again cannot give others.  Who stays is found on narrow rows; groups are combined before
+    they are shuffled.
+    """
     shared.work_folder(spark)
-    found = vertical_join.similar_texts(docs, size=5, percent=80)
-    others = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    rows = shared.stored(docs.select(F.monotonically_increasing_id().alias(NUMBER), F.struct("*").alias(ROW)), "numbered")
+    found = vertical_join.similar_texts(
+        rows.select(NUMBER, F.col(f"{ROW}.text").alias("text")), key=NUMBER, size=5, percent=80)
+    ids = rows.select(NUMBER, F.col(f"{ROW}.doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", NUMBER))[NUMBER]
+    stays = found.join(ids, NUMBER).groupBy("component_id").agg(first.alias(NUMBER)).select(NUMBER)
+    return rows.join(stays, NUMBER, "left_semi").select(f"{ROW}.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
