@@ -72,25 +72,33 @@ def _places(shingles: np.ndarray) -> np.ndarray:
     return (shingles & np.uint64(PLACES - 1)).astype(np.int64)
 
 
+def _bitmap(own: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles per place; as many places as shingles, rounded up to a power of two."""
+    places = max(256, 1 << (len(own) - 1).bit_length())
+    counts = np.bincount((own & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(np.uint8))
+
+
 def _measure(size: int):
-    """A text's set (key, n, two sums); at the end of a task the counts of all places, a part a row."""
+    """A text's set (key, n, two sums, bitmap); at the end of a task the counts of all places, a part a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, total = "key n f1 f2 part counts", np.zeros(PLACES, np.uint32)
+        names, total = "key n f1 f2 bits part counts", np.zeros(PLACES, np.uint32)
         for block in shared.blocks(batches, "text", 8 << 20):
             sets = list(_sets(block, size))
             n = np.array([len(s) for s in sets], np.int64)
             one = [int(words.mix(s).sum()) if len(s) else 0 for s in sets]
             two = [int(words.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum()) if len(s) else 0 for s in sets]
             yield _batch(names, block.column("key"), n, _signed(np.array(one, np.uint64)),
-                         _signed(np.array(two, np.uint64)), pa.nulls(len(sets), pa.int64()),
-                         pa.nulls(len(sets), pa.binary()))
+                         _signed(np.array(two, np.uint64)),
+                         pa.array([_bitmap(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                         pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.binary()))
             if n.any():
                 total += np.bincount(_places(np.concatenate(sets)), minlength=PLACES).astype(np.uint32)
         parts = total.reshape(_PARTS, -1)
         used = np.flatnonzero(parts.any(axis=1))
         if len(used):
             none = pa.nulls(len(used), pa.int64())
-            yield _batch(names, none, none, none, none, used,
+            yield _batch(names, none, none, none, none, pa.nulls(len(used), pa.binary()), used,
                          pa.array([zlib.compress(parts[k].tobytes(), 1) for k in used], pa.binary()))
     return run
 
@@ -235,13 +243,6 @@ def blocks_of(found: DataFrame, most: int, block_sets: int, percent: int) -> Dat
     return many.join(placed, ["doc", "f1"])
 
 
-def _bitmap(own: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles per place; as many places as shingles, rounded up to a power of two."""
-    places = max(256, 1 << (len(own) - 1).bit_length())
-    counts = np.bincount((own & np.uint64(places - 1)).astype(np.int64), minlength=places)
-    return np.packbits((counts & 1).astype(np.uint8))
-
-
 def _folded(bitmap: np.ndarray, size: int) -> np.ndarray:
     """The bitmap of the same set over fewer places."""
     while bitmap.shape[-1] > size:
@@ -250,20 +251,6 @@ def _folded(bitmap: np.ndarray, size: int) -> np.ndarray:
     return bitmap
 
 
-def bitmaps(texts: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """Parity bitmap of each needed text: doc, f1, bits."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in shared.blocks(batches, "text", 8 << 20):
-            rows = [(doc, int(words.mix(own).sum().view(np.int64)), _bitmap(own).tobytes())
-                    for doc, own in zip(block.column("key").to_pylist(), _sets(block, size)) if len(own)]
-            if rows:
-                doc, f1, bits = zip(*rows)
-                yield _batch("doc f1 bits", doc, f1, pa.array(bits, pa.binary()))
-
-    return (texts.join(needed, "key", "left_semi")
-            .mapInArrow(run, "doc long, f1 long, bits binary").dropDuplicates(["doc", "f1"]))
-
-
 def _may_link(n_x, n_y, differing, percent: int):
     """Whether sets of these sizes that differ in so many shingles, or more, may link."""
     return (100 + percent) * (n_x + n_y - differing) >= 2 * percent * (n_x + n_y)
@@ -478,14 +465,15 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     measured = shared.stored(
-        texts.mapInArrow(_measure(size), "key long, n long, f1 long, f2 long, part long, counts binary"), "sets")
+        texts.mapInArrow(_measure(size), "key long, n long, f1 long, f2 long, bits binary, part long, counts binary"), "sets")
     order = spark.sparkContext.broadcast(order_of(measured))  # PLACES bytes
     prefixes = shared.stored(texts.mapInArrow(
         _prefixes(size, percent, least, order), "shingle long, f1 long, place long, doc long"), "prefixes")
     found = shared.stored(buckets(prefixes), "buckets")
     pairs = shared.stored(small_pairs(found, percent, most, least), "pairs")
     members = shared.stored(blocks_of(found, most, block_sets, percent), "blocks")
-    maps = shared.stored(bitmaps(texts, _keys(pairs).union(members.select("doc")).distinct(), size), "bitmaps")
+    maps = (measured.where("part is null and n > 0 and key is not null")
+            .select(F.col("key").alias("doc"), "f1", "bits").dropDuplicates(["doc", "f1"]))
     in_blocks = shared.stored(near_blocks(members, maps, percent, dense), "near_in_blocks")
     near = shared.stored(near_pairs(pairs, maps, percent).union(
         in_blocks.where("not dense").select(*_PAIR)).distinct(), "near")
@@ -497,7 +485,7 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     links = pair_links(near, wanted, *cut).union(block_links(meet, members, wanted, *cut))
     reached = components(links)
 
-    sets = measured.where("part is null").drop("part", "counts")
+    sets = measured.where("part is null").drop("bits", "part", "counts")
     classes = (sets.where("n > 0 and key is not null").groupBy("n", "f1", "f2").agg(F.min("key").alias("first"))
                .join(reached, F.col("first") == F.col("node"), "left")
                .select("n", "f1", "f2", F.coalesce("component", "first").alias("component")))
