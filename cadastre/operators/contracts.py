@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import logging
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
@@ -147,11 +147,21 @@ def compile_checks(contract: Contract, strict: bool = False) -> list[Check]:
     return checks
 
 
-def _unique_violations(df: DataFrame, column: str) -> DataFrame:
-    """Rows minus distinct values; every NULL counts as a violation."""
-    per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return per_value.agg(
-        (F.coalesce(F.sum("n"), F.lit(0)) - F.count(column)).alias("observed"))
+def _unique_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: for each column (``u0``, ``u1``, ..) rows minus distinct values; NULLs are violations.
+
+    Several columns are stacked under a tag, so the rows are computed once whatever their number.
+    """
+    rows = F.count(F.lit(1)).alias("n")
+    if len(columns) == 1:
+        return df.groupBy(columns[0]).agg(rows).agg(
+            (F.coalesce(F.sum("n"), F.lit(0)) - F.count(columns[0])).alias("u0"))
+    stack = F.array(*[F.struct(F.lit(i).alias("rule"), F.col(c).cast("string").alias("value"))
+                      for i, c in enumerate(columns)])
+    counted = df.select(F.explode(stack).alias("x")).select("x.*").groupBy("rule", "value").agg(rows)
+    return counted.agg(*[
+        (F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("n"))), F.lit(0))
+         - F.count(F.when(F.col("rule") == i, F.col("value")))).alias(f"u{i}") for i in range(len(columns))])
 
 
 def hours_old(timestamp: str, now: datetime | str) -> Column:
@@ -190,11 +200,10 @@ def contract_report(df: DataFrame, contract: Contract, now: datetime | str,
     entries += [entry(c.name, c.text, F.col(f"c{i}"), F.col(f"c{i}") == 0)
                 for i, c in enumerate(wide)]
     report = row.select(F.inline(F.array(*entries)))
-    for check in checks:
-        if check.violations is None:
-            single = _unique_violations(df, check.column)
-            report = report.unionByName(single.select(F.inline(F.array(
-                entry(check.name, check.text, F.col("observed"), F.col("observed") == 0)))))
+    unique = [c for c in checks if c.violations is None]
+    if unique:
+        report = report.unionByName(_unique_violations(df, [c.column for c in unique]).select(F.inline(F.array(
+            *[entry(c.name, c.text, F.col(f"u{i}"), F.col(f"u{i}") == 0) for i, c in enumerate(unique)]))))
     return report
 
 

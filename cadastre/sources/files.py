@@ -46,6 +46,18 @@ def old_folders(spark: SparkSession, folder: str, hours: float) -> list[str]:
                   if f.isDirectory() and f.getModificationTime() <= before)
 
 
+def head(spark: SparkSession, path: str, size: int) -> tuple[bytes, bool]:
+    """The first bytes of a file and whether that is all of it."""
+    filesystem, target = _filesystem(spark, path)
+    length = filesystem.getFileStatus(target).getLen()
+    stream = filesystem.open(target)
+    try:
+        data = spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, int(min(size, length)))
+    finally:
+        stream.close()
+    return bytes(data), length <= size
+
+
 def move(spark: SparkSession, path: str, folder: str) -> str:
     """Rename a file into another folder of the same store, replacing an older copy."""
     filesystem, source = _filesystem(spark, path)
