@@ -7,6 +7,8 @@ the log and in the audit row.
 from __future__ import annotations
 
 import logging
+import posixpath
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -20,14 +22,16 @@ from cadastre.operators.clean import clean_transactions
 from cadastre.operators.contracts import Contract, validate_all
 from cadastre.operators.features import MINIMUM_PRICE, TRAIN_PERCENT, build_features, split_rows
 from cadastre.operators.profile import raw_counts
-from cadastre.schemas import FEATURE_SET_AT
+from cadastre.schemas import FEATURE_SET_AT, RAW_MANIFEST
 from cadastre.sinks.audit import record_run
 from cadastre.sinks.catalog import Warehouse, full_name
 from cadastre.sinks.loading import Load, Prepared, key_list, prepare_sync, require_values, run_load
+from cadastre.sinks.manifest import Run, begin, open_run
+from cadastre.sinks.units import RUN
 from cadastre.sources import files
 from cadastre.sources.control import SourceParameters, consumption_tables, source_parameters
 from cadastre.sources.csv import count_lines, read_csv
-from cadastre.sources.json_pages import page_chain, read_pages
+from cadastre.sources.json_pages import page_order, read_pages
 from cadastre.sources.flatten import flatten
 from cadastre.sources.rest import DEFAULT_LIMIT, read_rest
 from cadastre.sources.tables import align
@@ -101,8 +105,13 @@ class RawInput:
 
     workspace: Workspace
     parameters: SourceParameters
-    paths: list[str]
+    name: str
     table: str
+    run: Run
+
+    @property
+    def path(self) -> str:
+        return posixpath.join(self.workspace.processing, self.name)
 
     @property
     def target(self):
@@ -112,7 +121,7 @@ class RawInput:
 
 
 def _csv_rows(raw: RawInput) -> tuple[DataFrame, int | None]:
-    spark, path = raw.workspace.spark, raw.paths[0]
+    spark, path = raw.workspace.spark, raw.path
     lines = count_lines(spark, path).agg(F.sum("lines")).first()[0] or 0
     return read_csv(spark, path, raw.target.names), lines
 
@@ -122,12 +131,14 @@ def _xml_rows(raw: RawInput) -> tuple[DataFrame, int | None]:
     root = options.get("root", {"unit": "unit"})
     group = options.get("group_column", "country")
     fields = [c for c in raw.target.names if c not in root.values() and c != group]
-    rows = read_xml(raw.workspace.spark, raw.paths[0], fields, **options)
+    rows = read_xml(raw.workspace.spark, raw.path, fields, **options)
     return align(rows, raw.target), None
 
 
 def _json_rows(raw: RawInput) -> tuple[DataFrame, int | None]:
-    return align(flatten(read_pages(raw.workspace.spark, raw.paths)), raw.target), None
+    order = raw.run.files().select(F.col("archivo").alias("page"), F.col("posicion").alias("position"))
+    pages = read_pages(raw.workspace.spark, raw.workspace.processing, order)
+    return align(flatten(pages), raw.target), None
 
 
 def _rest_rows(raw: RawInput) -> tuple[DataFrame, int | None]:
@@ -143,30 +154,62 @@ RAW_READERS: dict[str, Callable[[RawInput], tuple[DataFrame, int | None]]] = {
 }
 
 
+def _arrival(workspace: Workspace, name: str, kind: str) -> Run:
+    """The open run of a source, or a new one for what has arrived."""
+    house, spark, now = workspace.warehouse, workspace.spark, workspace.clock()
+    begun = open_run(house, name)
+    if kind == "API":
+        nothing = spark.createDataFrame(
+            [(None, None, None, None)], "posicion bigint, archivo string, longitud bigint, modificado timestamp")
+        return begun or begin(house, name, nothing, now, uuid.uuid4().hex)
+    start = posixpath.join(workspace.landing, name)
+    if begun and files.exists(spark, start):
+        if not begun.holds(name, tuple(files.listing(spark, start).select("longitud", "modificado").first())):
+            begun.close(now)  # another file has taken its place
+            begun = None
+    if begun:
+        return begun
+    files.find(spark, workspace.landing, name)
+    if kind == "JSON":
+        order = page_order(spark, start).select(F.col("page").alias("archivo"), F.col("position").alias("posicion"))
+        listed = files.listing(spark, workspace.landing, "*.json").join(order, "archivo")
+    else:
+        listed = files.listing(spark, start).withColumn("posicion", F.lit(0).cast("bigint"))
+    return begin(house, name, listed, now)
+
+
 def run_raw(workspace: Workspace, name: str) -> int:
-    """Find the source, move it to processing, append it to its raw table, archive it."""
+    """Find the source, move it to processing, append it to its raw table, archive it.
+
+    The step may be stopped anywhere and run again: its manifest says what belongs to the run, and
+    its rows become visible in the raw table at once, and once.
+    """
     def body(parameters: SourceParameters, counts: Counts) -> None:
         spark = workspace.spark
         kind = (parameters["tipo_archivo"] or "").upper()
         if kind not in RAW_READERS:
             raise ValueError(f"format {kind!r} is not supported; use one of {sorted(RAW_READERS)}")
         table = full_name(parameters.need("tabla_raw"), "raw")
-        workspace.warehouse.require(table)
-        paths: list[str] = []
+        house = workspace.warehouse
+        house.require(table, RAW_MANIFEST.name)
+        run = _arrival(workspace, name, kind)
+        if kind != "API":
+            files.move_all(spark, run.names(), workspace.landing, workspace.processing, [workspace.processed])
+        if house.has_run(table, run.name):
+            counts.read = counts.inserted = house.stored(table).where(F.col(RUN) == run.name).count()
+        else:
+            rows, counted = RAW_READERS[kind](RawInput(workspace, parameters, name, table, run))
+            written = Observation()
+            folder = house.write_run(table, run.name, rows.observe(written, F.count(F.lit(1)).alias("n")))
+            counts.inserted = written.get["n"]
+            counts.read = counts.inserted if counted is None else counted
+            counts.rejected = max(counts.read - counts.inserted, 0)
+            if kind != "CSV" and counts.inserted == 0:
+                raise ValueError(f"source {name!r} has no records")
+            house.publish(table, folder, [run.name])
         if kind != "API":
-            found = files.find(spark, workspace.landing, name)
-            waiting = page_chain(spark, found) if kind == "JSON" else [found]
-            paths = [files.move(spark, p, workspace.processing) for p in waiting]
-        rows, counted = RAW_READERS[kind](RawInput(workspace, parameters, paths, table))
-        written = Observation()
-        workspace.warehouse.append(table, rows.observe(written, F.count(F.lit(1)).alias("n")))
-        counts.inserted = written.get["n"]
-        counts.read = counts.inserted if counted is None else counted
-        counts.rejected = max(counts.read - counts.inserted, 0)
-        if kind != "CSV" and counts.inserted == 0:
-            raise ValueError(f"source {name!r} has no records")
-        for path in paths:
-            files.move(spark, path, workspace.processed)
+            files.move_all(spark, run.names(), workspace.processing, workspace.processed)
+        run.close(workspace.clock())
 
     return _step(workspace, name, "raw", body)
 

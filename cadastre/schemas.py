@@ -26,7 +26,7 @@ class TableSpec:
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
     comment: str = ""
-    # ``key,key:count`` for buckets of keys, ``column:0`` for months; see sinks.units
+    # ``key,key:count`` for buckets of keys, ``column:0`` for months, ``:0`` for runs; see sinks.units
     unit: str = ""
 
     @property
@@ -86,20 +86,20 @@ TARGET = "precio_cop"
 
 RAW_TRANSACTIONS = TableSpec(
     "raw.transactions", _text(*TRANSACTION_TEXT), {LOADED_AT: NOW_DEFAULT},
-    comment="transactions as received, every business column text")
+    comment="transactions as received, every business column text", unit=":0")
 RAW_HOUSING_INDEX = TableSpec(
     "raw.housing_index", _text("unit", "country", "month", "price_index"),
-    {LOADED_AT: NOW_DEFAULT}, comment="monthly price index per country")
+    {LOADED_AT: NOW_DEFAULT}, comment="monthly price index per country", unit=":0")
 RAW_FOREIGN_TRANSACTIONS = TableSpec(
     "raw.foreign_transactions",
     _text("transaction_id", "authority_name", "property_state",
           "property_fair_market_value", "property_type", "transaction_type",
           "transaction_date", "lease_rate", "sale_price"),
-    {LOADED_AT: NOW_DEFAULT}, comment="flattened records of chained JSON pages")
+    {LOADED_AT: NOW_DEFAULT}, comment="flattened records of chained JSON pages", unit=":0")
 RAW_AUCTIONS = TableSpec(
     "raw.auctions",
     _text("property", "auction_date", "minimum_bid", "final_bid", "status"),
-    {LOADED_AT: NOW_DEFAULT}, comment="auction records of a paged REST service")
+    {LOADED_AT: NOW_DEFAULT}, comment="auction records of a paged REST service", unit=":0")
 
 STAGING_TRANSACTIONS = TableSpec(
     "staging.transactions", STAGING_COLUMNS + ((LOADED_AT, "timestamp"),),
@@ -140,6 +140,14 @@ AUDIT = TableSpec(
      ("mensaje_error", "string"), ("dia", "date")),
     required=("nombre_archivo",), partition_by=("dia",))
 
+RAW_MANIFEST = TableSpec(
+    "metadata.raw_manifest",
+    (("nombre_archivo", "string"), ("run", "string"), ("posicion", "bigint"),
+     ("archivo", "string"), ("longitud", "bigint"), ("modificado", "timestamp"),
+     ("evento", "string"), ("registrado", "timestamp")),
+    required=("nombre_archivo", "run"),
+    comment="files of each raw run, written before they are moved, and the end of the run")
+
 MODEL_VERSIONS = TableSpec(
     "metadata.model_versions",
     (("version", "bigint"), ("run_id", "string"), ("registry", "string"),
@@ -152,5 +160,5 @@ RUNS = TableSpec(
 ALL_TABLES = (
     RAW_TRANSACTIONS, RAW_HOUSING_INDEX, RAW_FOREIGN_TRANSACTIONS, RAW_AUCTIONS,
     STAGING_TRANSACTIONS, FEATURES, TRAIN, TEST, INGEST_PARAMETERS,
-    CONSUMPTION_PARAMETERS, AUDIT, MODEL_VERSIONS, RUNS,
+    CONSUMPTION_PARAMETERS, AUDIT, RAW_MANIFEST, MODEL_VERSIONS, RUNS,
 )

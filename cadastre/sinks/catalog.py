@@ -132,12 +132,23 @@ class Warehouse:
     # --- writes -------------------------------------------------------------
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows by column name; absent columns take their default."""
+        self._shaped(name, self._with_defaults(name, rows)).write.insertInto(name)
+
+    def _with_defaults(self, name: str, rows: DataFrame) -> DataFrame:
         defaults = self.defaults(name)
-        full = rows.withColumns({c: F.expr(defaults.get(c, "NULL"))
+        return rows.withColumns({c: F.expr(defaults.get(c, "NULL"))
                                  for c in self.table(name).columns if c not in rows.columns})
-        self._shaped(name, full).write.insertInto(name)
 
-    def _shaped(self, name: str, rows: DataFrame) -> DataFrame:
+    def has_run(self, name: str, run: str) -> bool:
+        return self.spark.sql(f"SHOW PARTITIONS {name}").where(F.col("partition") == f"{units.RUN}={run}").count() > 0
+
+    def write_run(self, name: str, run: str, rows: DataFrame) -> str:
+        """Write the rows of a run to a folder of their own; ``publish`` with ``[run]`` shows them, all at once."""
+        folder = self._new_folder(name)
+        self._shaped(name, self._with_defaults(name, rows), run).write.partitionBy(units.RUN).parquet(folder)
+        return folder
+
+    def _shaped(self, name: str, rows: DataFrame, run: str | None = None) -> DataFrame:
         """The table's columns in order and type, with unit and digest where it has them."""
         schema = self.stored(name).schema
         shaped = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
@@ -145,6 +156,9 @@ class Warehouse:
         unit = self.unit(name)
         if not unit:
             return shaped
+        if unit.name == units.RUN:
+            value = F.lit(run or uuid.uuid4().hex).alias(units.RUN)
+            return shaped.select("*", F.lit(None).cast("bigint").alias(units.DIGEST), value)
         data = [c for c in shaped.columns if c not in self.defaults(name)]
         return shaped.select("*", units.digest(data), unit.value())
 

@@ -1,6 +1,6 @@
 """Units: the parts of a stored table that a load replaces, and the layout inside them.
 
-A unit is a bucket of keys or a month of a date column.  It is the table's only partition column,
+A unit is a bucket of keys, a month of a date column or a run that appended rows.  It is the table's only partition column,
 and every unit has its own location in the catalog.  A load writes the units it touches to a new
 folder and points each of them there; the files of the others are neither read nor written.
 
@@ -17,21 +17,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET, MONTH, DIGEST = "_bucket", "_month", "_digest"
-HIDDEN = (BUCKET, MONTH, DIGEST)
+BUCKET, MONTH, RUN, DIGEST = "_bucket", "_month", "_run", "_digest"
+HIDDEN = (BUCKET, MONTH, RUN, DIGEST)
 NO_MONTH = "none"
 
 
 @dataclass(frozen=True)
 class Unit:
-    """``columns`` are the keys of a bucket, or the date column of a month (``count`` 0)."""
+    """``columns`` are the keys of a bucket, the date column of a month (``count`` 0), or none (a run)."""
 
     columns: tuple[str, ...]
     count: int = 0
 
     @property
     def name(self) -> str:
-        return BUCKET if self.count else MONTH
+        return BUCKET if self.count else MONTH if self.columns else RUN
 
     @property
     def ddl(self) -> str:
@@ -53,7 +53,7 @@ class Unit:
     @staticmethod
     def parse(text: str) -> Unit:
         columns, _, count = text.rpartition(":")
-        return Unit(tuple(columns.split(",")), int(count))
+        return Unit(tuple(columns.split(",")) if columns else (), int(count))
 
 
 def digest(columns: Sequence[str]) -> Column:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import posixpath
 import time
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import batched
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -58,6 +62,32 @@ def head(spark: SparkSession, path: str, size: int) -> tuple[bytes, bool]:
     return bytes(data), length <= size
 
 
+def listing(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """``(archivo, longitud, modificado)`` of the files of a path; their content is not read."""
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(path).select(
+        F.col("_metadata.file_name").alias("archivo"), F.col("_metadata.file_size").alias("longitud"),
+        F.col("_metadata.file_modification_time").alias("modificado"))
+
+
+def move_all(spark: SparkSession, names: Iterable[str], source: str, target: str, later: Sequence[str] = ()) -> None:
+    """Move files from one folder to another, some at a time in parallel.
+
+    A file that is in the target, or in a folder that comes ``later``, has been moved already.
+    """
+    def one(name: str) -> None:
+        if exists(spark, posixpath.join(source, name)):
+            move(spark, posixpath.join(source, name), target)
+        elif not any(exists(spark, posixpath.join(f, name)) for f in (target, *later)):
+            raise FileNotFoundError(f"no file {posixpath.join(source, name)}")
+
+    with ThreadPoolExecutor(16) as pool:
+        for some in batched(names, 1024):
+            list(pool.map(one, some))
+
+
 def move(spark: SparkSession, path: str, folder: str) -> str:
     """Rename a file into another folder of the same store, replacing an older copy."""
     filesystem, source = _filesystem(spark, path)

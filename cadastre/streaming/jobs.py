@@ -29,7 +29,7 @@ BATCH = "_batch"
 def batch_table(spec: TableSpec, name: str | None = None,
                 extra: Sequence[tuple[str, str]] = ()) -> TableSpec:
     """The table with one partition per micro-batch, as the append jobs need it."""
-    return replace(spec, name=name or spec.name, partition_by=(BATCH,),
+    return replace(spec, name=name or spec.name, partition_by=(BATCH,), unit="",
                    columns=(*spec.columns, *extra, (BATCH, "bigint")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from cadastre.sources import files
 from cadastre.sources.csv import count_lines, read_csv
-from cadastre.sources.json_pages import page_chain, read_all_pages, read_chained_json
+from cadastre.sources.json_pages import page_order, read_all_pages, read_chained_json, read_pages
 from cadastre.sources.rest import flat_record, read_rest
 from cadastre.sources.xml import read_xml, root_attributes
 from cadastre.sources.tables import parameterised
@@ -126,7 +126,10 @@ def test_json_chain(spark, tmp_path):
         "tags": [1, "é"], "none": None})
     page(tmp_path, "p2.json", "p1.json", {"transaction_id": "x", "property": {"state": "NJ"}, "extra": 1})
     page(tmp_path, "p9.json", "null", {"transaction_id": "unreachable"})
-    assert [os.path.basename(p) for p in page_chain(spark, start)] == ["p1.json", "p2.json"]
+    order = page_order(spark, start)
+    assert rows_of(order) == [("p1.json", 0), ("p2.json", 1)]
+    placed = read_pages(spark, str(tmp_path), order, position="at")
+    assert rows_of(placed, "at", "transaction_id") == [(0, "7"), (1, "x")]
     got = {r["transaction_id"]: r.asDict() for r in read_chained_json(spark, start).collect()}
     assert set(got) == {"7", "x"}
     assert got["7"] == {"transaction_id": "7", "property_state": "NY", "none": None, "extra": None,
@@ -138,6 +141,20 @@ def test_json_chain(spark, tmp_path):
     assert read_all_pages(spark, str(tmp_path / "*.json")).count() == 3
 
 
+def test_json_pages_outside_the_chain_are_not_parsed(spark, tmp_path):
+    start = page(tmp_path, "p1.json", "null", {"a": 1})
+    page(tmp_path, "p2.json", "null", {"a": 2, "other": 3})
+    got = read_chained_json(spark, start)
+    assert got.columns == ["a"] and rows_of(got) == [("1",)]
+
+
+def test_long_chain(spark, tmp_path):
+    for k in range(300):
+        page(tmp_path, f"p{k:03d}.json", f"p{k + 1:03d}.json" if k < 299 else "null", {"k": k})
+    got = read_pages(spark, str(tmp_path), page_order(spark, str(tmp_path / "p000.json")), position="at")
+    assert rows_of(got, "at", "k") == sorted([(k, str(k)) for k in range(300)], key=repr)
+
+
 def test_json_name_collision_last_wins(spark, tmp_path):
     start = page(tmp_path, "p1.json", "null", {"a_b": "flat", "a": {"b": "nested"}})
     schema = StructType.fromDDL("a_b string, a struct<b: string>")
