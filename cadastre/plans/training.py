@@ -1,17 +1,24 @@
-"""Train, compare, register and promote models; score with the best of them."""
+"""Train, compare, register and promote models; score with the best of them.
+
+    python -m cadastre.plans.training --config models.yaml [--root hdfs:///lake]
+
+trains what the file lists, see :func:`config_from`, and ends with 1 if no model could be trained.
+"""
 
 from __future__ import annotations
 
+import argparse
+import json
 import logging
 import posixpath
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, fields
 from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastre.operators import learning, registry
@@ -20,6 +27,8 @@ from cadastre.operators.profile import dataset_summary
 from cadastre.plans.steps import Workspace
 from cadastre.schemas import (
     MODEL_CATEGORICAL, MODEL_NUMERIC, MODEL_VERSIONS, RUNS, TARGET)
+from cadastre.session import build_session
+from cadastre.sinks.catalog import Warehouse
 from cadastre.sources.tables import feature_scan, schema_differences
 
 log = logging.getLogger(__name__)
@@ -172,3 +181,63 @@ def score_batch(workspace: Workspace, config: TrainingConfig, name: str,
     """Estimated price of each request, with the model that made it."""
     model = load_served_model(workspace, config, name)
     return learning.score(model, requests).withColumn("modelo_usado", F.lit(name))
+
+
+def config_from(values: Mapping[str, Any]) -> TrainingConfig:
+    """Configuration of a mapping with the fields of :class:`TrainingConfig` by their names.
+
+    ``models`` is a list of ``{name, params, enabled}``, or a mapping of names to parameters; without
+    parameters a model has its standard ones.  Unknown fields and models are errors, so a misspelt
+    setting does not pass unnoticed.
+    """
+    known = {f.name for f in fields(TrainingConfig)}
+    unknown = sorted(set(values) - known)
+    if unknown:
+        raise ValueError(f"unknown settings {unknown}; known: {sorted(known)}")
+    settings = {k: tuple(v) if isinstance(v, list) and k != "models" else v for k, v in values.items()}
+    if "models" in values:
+        listed = values["models"]
+        if isinstance(listed, Mapping):
+            listed = [{"name": name, "params": params} for name, params in listed.items()]
+        models = {}
+        for entry in listed:
+            name = entry["name"]
+            if name not in learning.MODELS:
+                raise ValueError(f"unknown model {name!r}; known: {sorted(learning.MODELS)}")
+            if name in models:
+                raise ValueError(f"model {name!r} is listed twice")
+            if entry.get("enabled", True):
+                models[name] = dict(entry.get("params") or learning.STANDARD_PARAMETERS.get(name, {}))
+        if not models:
+            raise ValueError("no model is enabled")
+        settings["models"] = models
+    return TrainingConfig(**settings)
+
+
+def read_config(spark: SparkSession, path: str) -> TrainingConfig:
+    """Configuration from a JSON or YAML file in any store that Spark reads."""
+    text = spark.read.text(path, wholetext=True).first()["value"]
+    if path.endswith((".yaml", ".yml")):
+        import yaml
+        values = yaml.safe_load(text)
+    else:
+        values = json.loads(text)
+    if not isinstance(values, Mapping):
+        raise ValueError(f"{path} holds no settings")
+    return config_from(values)
+
+
+def main(arguments: Sequence[str] | None = None) -> int:
+    parser = argparse.ArgumentParser(description="Train the models of a configuration file.")
+    parser.add_argument("--config", required=True)
+    parser.add_argument("--root", default="warehouse", help="root folder of the tables")
+    given = parser.parse_args(arguments)
+    spark = build_session()
+    config = read_config(spark, given.config)
+    result = run_training(Workspace(Warehouse(spark, given.root)), config)
+    print(json.dumps({"best": result.best, "metrics": result.metrics, "failures": result.failures}, sort_keys=True))
+    return 0 if result.best else 1
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

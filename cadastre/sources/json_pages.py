@@ -58,7 +58,7 @@ _BROKEN = "_corrupt_page"
 
 
 def _texts(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    return (spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path)
+    return (spark.read.text(path, wholetext=True, pathGlobFilter=pattern)
             .select(F.col("_metadata.file_name").alias("page"), "value"))
 
 

@@ -148,6 +148,17 @@ def test_json_pages_outside_the_chain_are_not_parsed(spark, tmp_path):
     assert got.columns == ["a"] and rows_of(got) == [("1",)]
 
 
+def test_json_page_of_many_lines(spark, tmp_path):
+    start = page(tmp_path, "p1.json", "p2.json", {"a": {"b": 1}})
+    text = (tmp_path / "p1.json").read_text()
+    (tmp_path / "p1.json").write_text(json.dumps(json.loads(text), indent=2))
+    page(tmp_path, "p2.json", "null", {"a": {"c": [2, "x"]}})
+    assert rows_of(read_chained_json(spark, start), "a_b", "a_c") == [("1", None), (None, '[2, "x"]')]
+    (tmp_path / "p2.json").write_text('{"data": [{"a": ')
+    with pytest.raises(Exception, match="p2.json|MALFORMED"):
+        read_chained_json(spark, start).collect()
+
+
 def test_long_chain(spark, tmp_path):
     for k in range(300):
         page(tmp_path, f"p{k:03d}.json", f"p{k + 1:03d}.json" if k < 299 else "null", {"k": k})
