@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _FOLDERS: dict[str, str] = {}
 
@@ -50,6 +51,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def small_if_counted(keys: DataFrame, label: str, rows: int = 1_000_000) -> DataFrame:
+    """Narrow keys, stored and counted: broadcast where they are at most ``rows``, else left to the planner.
+
+    The planner's estimate alone turns a join with texts into a shuffle of all texts long before that.
+    """
+    keys = stored(keys, label)
+    return F.broadcast(keys) if keys.count() <= rows else keys
+
+
 def _ship_package(spark: SparkSession, folder: str) -> None:
     """Hand the package to the executors, which may not have it installed."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

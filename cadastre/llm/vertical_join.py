@@ -480,7 +480,8 @@ def similar_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     meet = in_blocks.where("dense").select("one", "two")
     crowded = members.join(_sides(meet).select("block").distinct(), "block", "left_semi").select("doc")
     # texts are smaller than their sets, so these travel and are stored in place of the sets
-    wanted = shared.stored(texts.join(_keys(near).union(crowded).distinct(), "key", "left_semi").distinct(), "texts")
+    needed = shared.small_if_counted(_keys(near).union(crowded).distinct(), "needed")
+    wanted = shared.stored(texts.join(needed, "key", "left_semi").distinct(), "texts")
     cut = (percent, size, fragments, order)
     links = pair_links(near, wanted, *cut).union(block_links(meet, members, wanted, *cut))
     reached = components(links)
