@@ -55,12 +55,15 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     shared.work_folder(spark)
     rows = shared.stored(docs.select(F.monotonically_increasing_id().alias(NUMBER), F.struct("*").alias(ROW)), "numbered")
-    found = vertical_join.similar_texts(
+    found = shared.stored(vertical_join.similar_texts(
         rows.select(NUMBER, F.col(f"{ROW}.text").alias("text")), key=NUMBER, size=5, percent=80)
+        .select(NUMBER, "component_id"), "components")
     ids = rows.select(NUMBER, F.col(f"{ROW}.doc_id").alias("id"))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", NUMBER))[NUMBER]
-    stays = found.join(ids, NUMBER).groupBy("component_id").agg(first.alias(NUMBER)).select(NUMBER)
-    return rows.join(stays, NUMBER, "left_semi").select(f"{ROW}.*")
+    groups = (found.join(ids, NUMBER).groupBy("component_id").agg(first.alias("first"), F.count("*").alias("n"))
+              .where("n > 1"))
+    dropped = found.join(groups, "component_id").where(F.col(NUMBER) != F.col("first")).select(NUMBER)
+    return rows.join(shared.small_if_counted(dropped, "dropped"), NUMBER, "left_anti").select(f"{ROW}.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
