@@ -27,6 +27,10 @@ from cadastre.llm import shared, words
 from cadastre.llm.crf_language import find_units
 from cadastre.llm.text_stats import held_out, labelled_sample
 
+#: text cut into terms at a time: arrays of several numbers a byte are made of it
+_BLOCK_BYTES = 1 << 20
+
+
 @dataclass
 class Machine:
     terms: np.ndarray      # learned places, ascending
@@ -65,7 +69,7 @@ def _places(block: pa.RecordBatch, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _terms_of(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in shared.blocks(batches, "text"):
+        for block in shared.blocks(batches, "text", _BLOCK_BYTES):
             places, owner = _places(block, bits)
             pairs = np.unique(owner << 32 | places)
             bounds = np.searchsorted(pairs >> 32, np.arange(block.num_rows + 1)).astype(np.int32)
@@ -159,7 +163,7 @@ def score_column(spark: SparkSession, model: Machine, text: Column) -> Column:
         machine = shipped.value
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
         parts = [machine.score(*_places(block, machine.bits), block.num_rows)
-                 for block in shared.blocks([batch], "text")]
+                 for block in shared.blocks([batch], "text", _BLOCK_BYTES)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score(text.cast("string"))
