@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastre.llm import shared, words
-from cadastre.llm.word_ids import word_ids
+from cadastre.llm.word_ids import forget, word_ids
 
 _STORED = ("kind int, key long, doc_tokens long, tail_start long, tail_tokens long, lexical long, "
            "first_sequence long, crcs binary, blob binary")
@@ -237,6 +237,7 @@ def cut_to_powers(row: list[tuple[int, int, int]], total: int) -> list[list[tupl
 
 def _filler(weights, mean: float, window: int, shard_docs: int, terms: int, k1: float, b: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         idf = weights.value
         code = "<u2" if len(idf) <= 1 << 16 else "<u4"
         sequence = _TAILS | TaskContext.get().partitionId() << 36

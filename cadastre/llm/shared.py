@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import tempfile
@@ -104,3 +105,11 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str,
                 start, total = i, 0
             total += size
         yield batch.slice(start)
+
+
+def give_back() -> None:
+    """Return memory that a worker has freed to the system, which its executor's limit counts until then."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)

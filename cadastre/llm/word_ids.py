@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from cadastre.llm import words
+from cadastre.llm import shared, words
 
 _LETTER, _SYMBOL = 1, 2
 #: Under the vocabulary's splitting pattern a piece always ends between a letter and an ASCII
@@ -116,3 +116,10 @@ def word_ids(path: str, code: str = "<u4") -> WordIds:
     if key not in _OPEN:
         _OPEN[key] = WordIds(path, code)
     return _OPEN[key]
+
+
+def forget() -> None:
+    """Drop the worker's encoders; a worker outlives its stage, and steps that do not encode need the room."""
+    if _OPEN:
+        _OPEN.clear()
+        shared.give_back()

@@ -402,3 +402,14 @@ def test_word_ids_match_the_library_in_small_spans_and_tables():
         ids, bounds = encoder.encode(pa.array(texts, pa.string()))
         wanted = plain.encode_batch([t or "" for t in texts], add_special_tokens=False)
         assert [ids[a:z].tolist() for a, z in zip(bounds[:-1], bounds[1:])] == [w.ids for w in wanted]
+
+
+def test_encoder_is_the_same_after_it_was_forgotten():
+    from cadastre.llm import word_ids
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = pa.array(["Some words, and some more words.", None, "", "wörter;more"])
+    before = word_ids.word_ids(path).encode(texts)
+    word_ids.forget()
+    assert not word_ids._OPEN
+    after = word_ids.word_ids(path).encode(texts)
+    assert all((a == b).all() for a, b in zip(before, after))
