@@ -94,6 +94,7 @@ def _encoder(vocabulary: str, size: int, window: int, end_id: int):
                              np.array(crcs, "<u4").tobytes(), tail.tobytes()))
                 sequence += len(crcs)
             yield _rows(rows)
+            shared.give_back()
         if seen.any():
             there = np.flatnonzero(seen).astype("<i4")
             yield _rows([(1, None, 0, 0, 0, 0, 0, b"",

@@ -38,6 +38,8 @@ PLACES, _PARTS = 1 << 22, 1 << 10
 _HASH_BITS = 56
 #: from this class on a bucket may hold more than 65,536 sets
 _CROWDED = 32
+#: text cut into shingles at a time: arrays of several numbers a byte are made of it
+_BLOCK_BYTES = 1 << 20
 _PAIR = ["x_doc", "x_f1", "x_n", "y_doc", "y_f1", "y_n"]
 _PAIR_TYPE = ", ".join(f"{c} long" for c in _PAIR)
 
@@ -83,7 +85,7 @@ def _measure(size: int):
     """A text's set (key, n, two sums, bitmap); at the end of a task the counts of all places, a part a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, total = "key n f1 f2 bits part counts", np.zeros(PLACES, np.uint32)
-        for block in shared.blocks(batches, "text", 8 << 20):
+        for block in shared.blocks(batches, "text", _BLOCK_BYTES):
             sets = list(_sets(block, size))
             n = np.array([len(s) for s in sets], np.int64)
             one = [int(words.mix(s).sum()) if len(s) else 0 for s in sets]
@@ -100,6 +102,8 @@ def _measure(size: int):
             none = pa.nulls(len(used), pa.int64())
             yield _batch(names, none, none, none, none, pa.nulls(len(used), pa.binary()), used,
                          pa.array([zlib.compress(parts[k].tobytes(), 1) for k in used], pa.binary()))
+        del total, parts
+        shared.give_back()
     return run
 
 
@@ -133,7 +137,7 @@ def _prefixes(size: int, percent: int, least: int, order):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, _ = order.value
-        for block in shared.blocks(batches, "text", 8 << 20):
+        for block in shared.blocks(batches, "text", _BLOCK_BYTES):
             seen: dict[tuple, tuple] = {}
             for key, own in zip(block.column("key").to_pylist(), _sets(block, size)):
                 if not len(own) or key is None:
@@ -153,6 +157,7 @@ def _prefixes(size: int, percent: int, least: int, order):
                     np.repeat(np.array([f for f, _ in seen], np.int64), sizes),
                     np.concatenate([(n << 32) | np.arange(m) for (_, n), m in zip(seen, sizes)]),
                     np.repeat(np.array([doc for _, doc in seen.values()], np.int64), sizes))
+        shared.give_back()
     return run
 
 
@@ -279,7 +284,7 @@ def contents(texts: DataFrame, size: int, fragments: int, order) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, mass = order.value
         cuts = cuts_of(mass, fragments)
-        for block in shared.blocks(batches, "text", 8 << 20):
+        for block in shared.blocks(batches, "text", _BLOCK_BYTES):
             out: list[tuple] = []
             for doc, f1, own in zip(block.column("key").to_pylist(), block.column("f1").to_pylist(),
                                     _sets(block, size)):
@@ -290,6 +295,7 @@ def contents(texts: DataFrame, size: int, fragments: int, order) -> DataFrame:
             if out:
                 *columns, keys = zip(*out)
                 yield _batch("doc f1 fragment n keys", *columns, pa.array(keys, pa.binary()))
+        shared.give_back()
 
     return (texts.select("key", "text", "f1")
             .mapInArrow(run, "doc long, f1 long, fragment long, n long, keys binary"))

@@ -95,7 +95,7 @@ class WordIds:
         if not len(starts):
             return np.zeros(0, self.code), np.zeros(len(ends), np.int64)
         packed = data[inside]
-        places = np.append((np.cumsum(inside) - 1)[starts], len(packed))
+        places = np.append(np.cumsum(inside, dtype=np.int32)[starts].astype(np.int64) - 1, len(packed))
         coded = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts),
             [None, pa.py_buffer(places), pa.py_buffer(packed)]).dictionary_encode()
