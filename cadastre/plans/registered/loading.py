@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cadastre.operators import clean, features as feature_ops, merge
 from cadastre.plans.registered import base
 from cadastre.plans.registered.base import query, raw_tx, sql_clean, sql_dedup, sql_features, staging
+from cadastre.session import stored
 
 KEYS = ["id"]
 NOW, EARLIER = "2026-01-01 00:00:00", "2001-01-01 00:00:00"
@@ -33,10 +34,12 @@ def _stamp(text):
 def stored_staging(spark, sf):
     early = clean.clean_transactions(
         raw_tx(spark, sf).where(F.col("_loaded_at") < _stamp("1998-01-01 00:00:00")))
-    older = early.withColumn("precio_cop", F.col("precio_cop") - 1)
-    withdrawn = early.where("estado = 'publicada'").withColumn(
-        "id", F.concat(F.lit("w-"), F.col("id")))
-    return older.unionByName(withdrawn).withColumn("_loaded_at", _stamp(EARLIER))
+    # both copies of a row come from one pass; a union would clean and deduplicate twice
+    older = F.struct("id", (F.col("precio_cop") - 1).alias("precio_cop"))
+    withdrawn = F.struct(F.concat(F.lit("w-"), F.col("id")).alias("id"), "precio_cop")
+    copies = F.when(F.col("estado") == "publicada", F.array(older, withdrawn)).otherwise(F.array(older))
+    rest = [c for c in early.columns if c not in ("id", "precio_cop")]
+    return early.select(*rest, F.inline(copies)).select(*early.columns, _stamp(EARLIER).alias("_loaded_at"))
 
 
 def _defaults(column="_loaded_at"):
@@ -52,9 +55,10 @@ def load_full(spark, sf):
 SELECT * FROM stored UNION ALL SELECT s.*, TIMESTAMP '{NOW}' AS _loaded_at FROM staging s
 WHERE NOT EXISTS (SELECT 1 FROM stored t WHERE t.id = s.id)""")
 def load_incremental(spark, sf):
-    stored = stored_staging(spark, sf)
-    added = merge.incremental_load(staging(spark, sf), stored, KEYS, _defaults())
-    return stored.unionByName(added.drop(merge.ACTION))
+    # the load reads both sides more than once
+    target = stored(stored_staging(spark, sf))
+    added = merge.incremental_load(stored(staging(spark, sf)), target, KEYS, _defaults())
+    return target.unionByName(added.drop(merge.ACTION))
 
 
 _UPSERT_SQL = f"""{_STORED_SQL}
@@ -68,15 +72,17 @@ _UPSERT_SQL = f"""{_STORED_SQL}
 @query("load_upsert", f"{_UPSERT_SQL} SELECT * EXCLUDE (_action) FROM upserted")
 def load_upsert(spark, sf):
     return merge.upsert_load(
-        staging(spark, sf), stored_staging(spark, sf), KEYS, _defaults()).drop(merge.ACTION)
+        stored(staging(spark, sf)), stored(stored_staging(spark, sf)), KEYS, _defaults()).drop(merge.ACTION)
 
 
 @query("merge_counts", f"""{_UPSERT_SQL}
 SELECT count(*) FILTER (_action = 'insert') AS inserted, count(*) FILTER (_action = 'update') AS updated,
  count(*) FILTER (_action IN ('insert', 'update')) AS affected FROM upserted""")
 def merge_counts(spark, sf):
+    # actions depend on the keys alone
     return merge.action_counts(merge.upsert_load(
-        staging(spark, sf), stored_staging(spark, sf), KEYS, _defaults()))
+        stored(staging(spark, sf).select(*KEYS)),
+        stored(stored_staging(spark, sf).select(*KEYS, "_loaded_at")), KEYS, _defaults()))
 
 
 @query("merge_classify", f"""{_STORED_SQL}
