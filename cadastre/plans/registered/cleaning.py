@@ -12,6 +12,7 @@ from cadastre.plans.registered.base import (
     query, raw_tx, sql_amount, sql_bucket, sql_city, sql_date, sql_dedup, sql_double,
     sql_integer, sql_title, staging, table)
 from cadastre.schemas import MODEL_CATEGORICAL, MODEL_NUMERIC, TARGET
+from cadastre.session import stored
 from cadastre.sources.flatten import flatten
 from cadastre.sources.tables import align, feature_scan, parameterised, role_map, union_pages
 
@@ -263,5 +264,6 @@ def place_match(spark, sf):
     places = table(spark, sf, "customer").join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", town.alias("town"), county.alias("county"))
-    cities = staging(spark, sf).select(F.col("ciudad").alias("city")).distinct()
+    # the few names are looked up many times
+    cities = stored(staging(spark, sf).select(F.col("ciudad").alias("city")).distinct())
     return match.match_places(places, "c_custkey", ["town", "county"], cities)
