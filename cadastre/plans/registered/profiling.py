@@ -9,6 +9,7 @@ from cadastre.operators import profile
 from cadastre.plans.registered import base
 from cadastre.plans.registered.base import query, raw_tx, sql_date, sql_double, staging, table
 from cadastre.schemas import MODEL_CATEGORICAL, MODEL_NUMERIC, TRANSACTION_TEXT
+from cadastre.session import stored
 
 NUMERIC = ["area_m2", "alcobas", "banos", "precio_cop", "lat", "lon"]
 
@@ -60,7 +61,7 @@ def _rounded(described):
 @query("describe_numeric", _PARSED_SQL + _stack(
     NUMERIC, "SELECT '{c}' AS metric, " + _DESCRIBE + " FROM parsed"))
 def describe_numeric(spark, sf):
-    return _rounded(profile.describe_numeric(_parsed(spark, sf), NUMERIC))
+    return _rounded(profile.describe_numeric(stored(_parsed(spark, sf).select(*NUMERIC)), NUMERIC))
 
 
 @query("describe_by_group", _stack(
@@ -176,7 +177,8 @@ SELECT unnest(['filas', 'nulos_total', 'target_media', 'target_mediana', 'target
  round(avg(precio_cop), 2), round(quantile_cont(CAST(precio_cop AS DOUBLE), 0.5), 2),
  CAST(min(precio_cop) AS DOUBLE), CAST(max(precio_cop) AS DOUBLE)]) AS value FROM features""")
 def dataset_summary(spark, sf):
-    return profile.dataset_summary(base.features(spark, sf), _FEATURES, "precio_cop")
+    return profile.dataset_summary(
+        stored(base.features(spark, sf).select(*_FEATURES, "precio_cop")), _FEATURES, "precio_cop")
 
 
 @query("year_anomaly", """
