@@ -74,9 +74,14 @@ def title_letters(text: Column) -> Column:
 
 
 def _lookup(text: Column, names: dict[str, str]) -> Column:
-    # a literal map is planned as a constant; no join, no shuffle
-    flat = [F.lit(x) for pair in names.items() for x in pair]
-    return F.try_element_at(F.create_map(*flat), text)
+    # comparisons with constants: no join, no shuffle, and no map to search for each row
+    spellings: dict[str, list[str]] = {}
+    for spelling, name in names.items():
+        spellings.setdefault(name, []).append(spelling)
+    found = F.lit(None).cast("string")
+    for name, known in spellings.items():
+        found = F.when(text.isin(known), name).otherwise(found)
+    return found
 
 
 def canonical_city(city: Column, names: dict[str, str] = CITY_NAMES,

@@ -43,9 +43,10 @@ def raw_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty transactions: one row per order line, ids repeated as the lines are."""
     lines, orders, customers, parts = (
         table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "part"))
-    joined = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-              .join(parts, F.col("l_partkey") == F.col("p_partkey")))
+    # customers go to the orders, of which there are fewer: lines are not shuffled for them
+    sold = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    joined = (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+              .join(sold, F.col("l_orderkey") == F.col("o_orderkey")))
     spellings = ["BOGOTA", "Bogota", "Bogota D.C.", "Bogotá", "MEDELLIN", "Medellin", "Medellín",
                  "Cali", "Santiago de Cali", "Barranquilla", "B/quilla", " SANTA MARTA "]
     nation, size = F.col("c_nationkey") % 13, F.col("p_size") % 3
