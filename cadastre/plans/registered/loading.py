@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cadastre.operators import clean, features as feature_ops, merge
 from cadastre.plans.registered import base
 from cadastre.plans.registered.base import query, raw_tx, sql_clean, sql_dedup, sql_features, staging
-from cadastre.session import stored
+from cadastre.session import key_slices, slice_count, stored
 
 KEYS = ["id"]
 NOW, EARLIER = "2026-01-01 00:00:00", "2001-01-01 00:00:00"
@@ -31,9 +31,16 @@ def _stamp(text):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def stored_staging(spark, sf):
-    early = clean.clean_transactions(
+def _early(spark, sf):
+    return clean.clean_transactions(
         raw_tx(spark, sf).where(F.col("_loaded_at") < _stamp("1998-01-01 00:00:00")))
+
+
+def stored_staging(spark, sf):
+    return _stored_copies(_early(spark, sf))
+
+
+def _stored_copies(early):
     # both copies of a row come from one pass; a union would clean and deduplicate twice
     older = F.struct("id", (F.col("precio_cop") - 1).alias("precio_cop"))
     withdrawn = F.struct(F.concat(F.lit("w-"), F.col("id")).alias("id"), "precio_cop")
@@ -46,6 +53,19 @@ def _defaults(column="_loaded_at"):
     return {column: _stamp(NOW)}
 
 
+def _in_slices(spark, sf, load):
+    """``load`` of source and stored table, both stored, slice by slice of the keys and stored.
+
+    No two slices share a key, so the shuffles on disk at one time are those of one slice.
+    """
+    source = staging(spark, sf)
+    count = slice_count(source)
+    source = stored(*key_slices(source, KEYS, count))
+    target = stored(*map(_stored_copies, key_slices(_early(spark, sf), KEYS, count)))
+    loaded = [load(s, t) for s, t in zip(key_slices(source, KEYS, count), key_slices(target, KEYS, count))]
+    return stored(*loaded) if count > 1 else loaded[0]
+
+
 @query("load_full", f"SELECT *, TIMESTAMP '{NOW}' AS _loaded_at FROM staging")
 def load_full(spark, sf):
     return merge.full_load(staging(spark, sf), _defaults()).drop(merge.ACTION)
@@ -71,8 +91,8 @@ _UPSERT_SQL = f"""{_STORED_SQL}
 
 @query("load_upsert", f"{_UPSERT_SQL} SELECT * EXCLUDE (_action) FROM upserted")
 def load_upsert(spark, sf):
-    return merge.upsert_load(
-        stored(staging(spark, sf)), stored(stored_staging(spark, sf)), KEYS, _defaults()).drop(merge.ACTION)
+    return _in_slices(spark, sf, lambda source, target: merge.upsert_load(
+        source, target, KEYS, _defaults()).drop(merge.ACTION))
 
 
 @query("merge_counts", f"""{_UPSERT_SQL}

@@ -10,8 +10,15 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+SLICE_BYTES = 256 << 20  # stored input that one slice of the keys should stand for
+MOST_SLICES = 4  # each slice reads the input again
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(master: str | None = None, app_name: str = "cadastre",
@@ -52,12 +59,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame) -> DataFrame:
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a finished write go at once, not when the driver next collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def stored(df: DataFrame, *more: DataFrame) -> DataFrame:
     """Rows written once as Parquet below the checkpoint folder and read back.
 
-    For frames that are costly and read several times; the files outlive a lost executor.
+    For frames that are costly and read several times; the files outlive a lost executor.  Frames of the
+    same columns are written one after the other, and the shuffle files of one go before the next starts.
     """
     spark = df.sparkSession
     folder = posixpath.join(ensure_checkpoint_dir(spark), "stored", uuid.uuid4().hex)
-    df.write.parquet(folder)
+    with _shuffles_dropped(spark):
+        for part in (df, *more):
+            part.write.mode("append").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def slice_count(df: DataFrame) -> int:
+    """Slices that keep the shuffles of one near ``SLICE_BYTES`` of the files read, ``MOST_SLICES`` at most."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    return max(1, min(MOST_SLICES, -(-read // SLICE_BYTES)))
+
+
+def key_slices(df: DataFrame, keys: Sequence[str], count: int) -> list[DataFrame]:
+    """The rows cut into ``count`` frames by a hash of their keys; every row, NULL keys too, is in one of them."""
+    if count == 1:
+        return [df]
+    place = F.pmod(F.xxhash64(*keys), F.lit(count))
+    return [df.where(place == i) for i in range(count)]
