@@ -75,10 +75,11 @@ def load_full(spark, sf):
 SELECT * FROM stored UNION ALL SELECT s.*, TIMESTAMP '{NOW}' AS _loaded_at FROM staging s
 WHERE NOT EXISTS (SELECT 1 FROM stored t WHERE t.id = s.id)""")
 def load_incremental(spark, sf):
-    # the load reads both sides more than once
-    target = stored(stored_staging(spark, sf))
-    added = merge.incremental_load(stored(staging(spark, sf)), target, KEYS, _defaults())
-    return target.unionByName(added.drop(merge.ACTION))
+    def load(source, target):
+        added = merge.incremental_load(source, target, KEYS, _defaults())
+        return target.unionByName(added.drop(merge.ACTION))
+
+    return _in_slices(spark, sf, load)
 
 
 _UPSERT_SQL = f"""{_STORED_SQL}

@@ -50,7 +50,7 @@ def test_key_slices_hold_every_row_once(spark):
     assert sum(map(len, keys)) == len(set.union(*keys)) and all(keys)
 
 
-@pytest.mark.parametrize("name", ["load_upsert"])
+@pytest.mark.parametrize("name", ["load_upsert", "load_incremental"])
 def test_loads_in_slices(spark, sf_dir, name, monkeypatch):
     """Slices of the keys, one stored after the other, give the rows of one load."""
     whole = sorted(map(repr, QUERIES[name](spark, sf_dir).collect()))
